@@ -69,7 +69,7 @@ def classify(
         [(row["split"], names[int(row["actual"])], names[int(row["predicted"])], row["count"]) for row in cells],
         "split string, actual string, predicted string, count bigint",
     )
-    by_label = metrics.metrics_by_label(parts.where(F.col("split") == "test"))
+    tested = parts.where(F.col("split") == "test")
     distribution_table = spark.createDataFrame(
         sorted((names[int(index)], int(index), count) for index, count in distribution),
         "label string, label_index int, count bigint",
@@ -77,9 +77,9 @@ def classify(
     return Classification(
         val_accuracy=share_right(cells, "val"),
         test_accuracy=share_right(cells, "test"),
-        overall=metrics.metrics_overall(by_label),
+        overall=metrics.metrics_overall(tested),
         label_distribution=distribution_table.orderBy("label_index"),
-        by_label=by_label,
+        by_label=metrics.metrics_by_label(tested),
     )
 
 

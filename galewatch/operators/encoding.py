@@ -35,7 +35,7 @@ def label_index(df: DataFrame, label: str) -> DataFrame:
 
 def fit_label_index(df: DataFrame, label: str, output: str) -> StringIndexerModel:
     """The same index as a fitted model: it is applied per row, so no row moves to meet its label."""
-    indexer = StringIndexer(inputCol=label, outputCol=output, stringOrderType="frequencyDesc", handleInvalid="keep")
+    indexer = StringIndexer(inputCol=label, outputCol=output, stringOrderType="frequencyDesc", handleInvalid="skip")
     return indexer.fit(df.select(label))
 
 

@@ -47,37 +47,51 @@ def points_union(messages: DataFrame, position: str, damage: DataFrame) -> DataF
 def trajectory_segments(df: DataFrame, track: str, seq: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """(track, seq, start_lat, start_lon, end_lat, end_lon) for each point that has a next one.
 
-    ``seq`` is numeric and unique in a track. A track can hold most of all
-    points, so no window runs over a whole one: quantiles of ``seq`` cut it
-    into pieces of about rows / shuffle partitions, lead() runs within a piece,
-    and the last point of a piece gets the first one of the next piece, found
-    among the pieces' heads (one row each).
+    ``seq`` is numeric and unique in its track; points without track or seq are
+    on no line. A track can hold most of all points, so no window runs over a
+    whole one: quantiles of ``seq`` cut it into pieces of about rows / shuffle
+    partitions, lead() runs within a piece, and the last point of a piece gets
+    the first one of the next piece, found among the pieces' heads (one row
+    each).
     """
-    spark = df.sparkSession
     points = df.select(
         F.col(track).alias("track"),
         F.col(seq).alias("seq"),
-        F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")).alias("point"),
-    ).where(F.col("seq").isNotNull())
-    pieces = cut(points, "seq", "piece", int(spark.conf.get("spark.sql.shuffle.partitions")))
+        F.col(lat).alias("start_lat"),
+        F.col(lon).alias("start_lon"),
+    ).dropna(subset=["track", "seq"])
+    pieces = cut(points, "seq", "piece", int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    heads = pieces.groupBy("track", "piece").agg(F.min_by("point", "seq").alias("head"))
+    heads = pieces.groupBy("track", "piece").agg(
+        F.min_by("start_lat", "seq").alias("lat"), F.min_by("start_lon", "seq").alias("lon")
+    )
     by_piece = Window.partitionBy("track").orderBy("piece")
-    following = heads.select("track", "piece", F.lead("head").over(by_piece).alias("following"))
+    onward = heads.select(
+        "track",
+        "piece",
+        F.lead("piece").over(by_piece).isNotNull().alias("goes_on"),
+        F.lead("lat").over(by_piece).alias("onward_lat"),
+        F.lead("lon").over(by_piece).alias("onward_lon"),
+    )
 
     in_piece = Window.partitionBy("track", "piece").orderBy("seq")
-    linked = pieces.withColumn("next", F.lead("point").over(in_piece))
-    ends = F.coalesce("next", "following")
+    linked = pieces.withColumns(
+        {
+            "inside": F.lead("seq").over(in_piece).isNotNull(),
+            "next_lat": F.lead("start_lat").over(in_piece),
+            "next_lon": F.lead("start_lon").over(in_piece),
+        }
+    )
     return (
-        linked.join(following, ["track", "piece"])
-        .where(ends.isNotNull())
+        linked.join(onward, ["track", "piece"])
+        .where(F.col("inside") | F.col("goes_on"))
         .select(
             "track",
             "seq",
-            F.col("point.lat").alias("start_lat"),
-            F.col("point.lon").alias("start_lon"),
-            ends["lat"].alias("end_lat"),
-            ends["lon"].alias("end_lon"),
+            "start_lat",
+            "start_lon",
+            F.when(F.col("inside"), F.col("next_lat")).otherwise(F.col("onward_lat")).alias("end_lat"),
+            F.when(F.col("inside"), F.col("next_lon")).otherwise(F.col("onward_lon")).alias("end_lon"),
         )
     )
 
