@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 # Punctuation taken off one end of a token when the rest has none.
 EDGE = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:'\"-])"
+EDGE_MARKS = ".!?,;:'\"-"
 BARE = r"[^\s\p{Z}!-/:-@\[-`{-~]{2,}"
 SPACE = r"[\s\p{Z}]+"
 
@@ -18,11 +19,16 @@ def cased_tokens(text: Column) -> Column:
     """Space-separated tokens of two characters or more, casing kept.
 
     A punctuation mark at one end goes away when the rest of the token has no
-    punctuation at all, so ``good!!`` is ``good`` while ``:-)`` stays.
+    punctuation at all, so ``good!!`` is ``good`` while ``:-)`` stays. Only
+    tokens with such a mark at an end meet the pattern.
     """
-    start, end = r"(?<![^\s\p{Z}])", r"(?![^\s\p{Z}])"
-    bare = F.regexp_replace(text, f"{start}(?:{EDGE}({BARE})|({BARE}){EDGE}){end}", "$1$2")
-    return F.filter(F.split(bare, SPACE), lambda token: F.char_length(token) > 1)
+    marks = list(EDGE_MARKS)
+
+    def bare(token: Column) -> Column:
+        marked = F.substring(token, 1, 1).isin(marks) | F.substring(token, -1, 1).isin(marks)
+        return F.when(marked, F.regexp_replace(token, f"^(?:{EDGE}({BARE})|({BARE}){EDGE})$", "$1$2")).otherwise(token)
+
+    return F.transform(F.filter(F.split(text, SPACE), lambda token: F.char_length(token) > 1), bare)
 
 
 def shouted(token: Column) -> Column:

@@ -115,6 +115,9 @@ def sentiment_samples(
 def tokens_in_context(df: DataFrame, text: str, keys: Sequence[str], rules: Rules = PUBLISHED) -> DataFrame:
     """One row per token with its neighbours and what its text as a whole says.
 
+    Capitals are emphasis in a ``mixed`` text, one with any token that is not
+    in capitals; ``turn`` is the place of its first contrast word, 0 without.
+
     The neighbours are picked from the token array before the join with the
     lexicon, so that the array never travels with its tokens.
     """
@@ -131,7 +134,7 @@ def tokens_in_context(df: DataFrame, text: str, keys: Sequence[str], rules: Rule
     turn = F.array_position(F.transform(tokens, F.lower), rules.contrast)
     texts = texts.select(
         *keys, "text_hash", "emphasis", "tokens",
-        (F.exists(tokens, tx.shouted) & ~F.forall(tokens, tx.shouted)).alias("mixed"),
+        F.exists(tokens, lambda token: ~tx.shouted(token)).alias("mixed"),
         F.when(F.col("contrasting"), turn).otherwise(0).alias("turn"),
     )
     carried = [*keys, "text_hash", "emphasis", "mixed", "turn"]
@@ -160,18 +163,31 @@ def in_context(met: DataFrame, rules: Rules) -> DataFrame:
     """Turns the lexicon valence of a token into its valence in its text, rule after rule.
 
     Tokens without lexicon entry, booster words and the "kind" of "kind of"
-    carry null through all steps.
+    carry null through all steps. What the neighbours are is told in columns
+    of their own first: repeated inside the steps it would make the generated
+    code too long for the JVM to compile.
     """
     valence = F.col("valence")
     boosters = [*rules.intensifiers, *rules.dampeners]
     muted = F.col("word").isin(boosters) | ((F.col("word") == "kind") & (F.lower("next1") == "of"))
-    loud = F.col("mixed") & tx.shouted(F.col("token"))
-
     step = met.withColumn("valence", F.when(~F.coalesce(muted, F.lit(False)), valence))
-    step = step.withColumn("valence", F.when(loud, valence + away(valence, rules.shout)).otherwise(valence))
+    step = step.withColumns({f"low{back}": F.lower(f"prev{back}") for back in (1, 2, 3)})
+    step = step.withColumns(
+        {
+            "loud": F.col("mixed") & tx.shouted(F.col("token")),
+            **{f"boost{back}": boost(F.col(f"low{back}"), rules) for back in (1, 2, 3)},
+            **{f"factor{back}": reversal(back, rules) for back in (1, 2, 3)},
+        }
+    )
+    loudness = {back: F.col("mixed") & tx.shouted(F.col(f"prev{back}")) for back in (1, 2, 3)}
+
+    step = step.withColumn("valence", valence + F.when(F.col("loud"), away(valence, rules.shout)).otherwise(0.0))
     for back, damping in enumerate(rules.damping, start=1):
-        boosted = valence + boost(F.col(f"prev{back}"), valence, rules) * damping
-        step = step.withColumn("valence", boosted * reversal(back, rules))
+        strength = F.col(f"boost{back}")
+        signed = F.when(valence < 0, -strength).otherwise(strength)
+        louder = F.when(loudness[back], away(valence, rules.shout)).otherwise(0.0)
+        change = F.when(strength != 0, (signed + louder) * damping).otherwise(0.0)
+        step = step.withColumn("valence", (valence + change) * F.col(f"factor{back}"))
     step = step.withColumn("valence", phrased(valence, rules))
     return step.withColumn("valence", valence * least_reversal(rules) * contrast_weight(rules))
 
@@ -181,70 +197,55 @@ def away(valence: Column, by: float) -> Column:
     return F.when(valence > 0, by).otherwise(-by)
 
 
-def boost(previous: Column, valence: Column, rules: Rules) -> Column:
-    """Change by a booster word standing before, stronger when that word is in capitals."""
-    word = F.lower(previous)
-    strength = F.when(word.isin(list(rules.intensifiers)), rules.boost).when(
-        word.isin(list(rules.dampeners)), -rules.boost
+def boost(word: Column, rules: Rules) -> Column:
+    """What a booster word adds to a positive valence, 0 for other words."""
+    return (
+        F.when(word.isin(list(rules.intensifiers)), rules.boost)
+        .when(word.isin(list(rules.dampeners)), -rules.boost)
+        .otherwise(0.0)
     )
-    signed = F.when(valence < 0, -strength).otherwise(strength)
-    loud = F.when(F.col("mixed") & tx.shouted(previous), away(valence, rules.shout)).otherwise(0.0)
-    return F.coalesce(signed + loud, F.lit(0.0))
-
-
-def negates(word: Column, rules: Rules) -> Column:
-    return F.lower(word).isin(list(rules.negations)) | F.lower(word).contains("n't")
 
 
 def reversal(back: int, rules: Rules) -> Column:
     """Factor for a negation ``back`` places before; "never so" and "never this" strengthen instead."""
-    prev = {places: F.col(f"prev{places}") for places in (1, 2, 3)}
-    pointing = {places: prev[places].isin("so", "this") for places in (1, 2)}
-    turned = F.when(negates(prev[back], rules), rules.negate).otherwise(1.0)
+    word = F.col(f"low{back}")
+    negated = word.isin(list(rules.negations)) | word.contains("n't")
+    turned = F.when(negated, rules.negate).otherwise(1.0)
+    if back == 1:
+        return turned
+    never = F.col(f"prev{back}") == "never"
+    pointing = {places: F.col(f"prev{places}").isin("so", "this") for places in (1, 2)}
     if back == 2:
-        return F.when((prev[2] == "never") & pointing[1], 1.5).otherwise(turned)
-    if back == 3:
-        praise = ((prev[3] == "never") & pointing[2]) | pointing[1]
-        return F.when(prev[3].isNotNull() & praise, 1.25).otherwise(turned)
-    return turned
+        return F.when(never & pointing[1], 1.5).otherwise(turned)
+    return F.when(word.isNotNull() & ((never & pointing[2]) | pointing[1]), 1.25).otherwise(turned)
 
 
 def phrased(valence: Column, rules: Rules) -> Column:
     """Valence of the idiom the token is part of, and the dampening by a two-word phrase before it.
 
-    Looked at only from the fourth token on, as in the published scorer.
+    Looked at only from the fourth token on, as in the published scorer. Later
+    idioms win over earlier ones there, so those that run on after the token
+    come first here.
     """
-    prev3, prev2, prev1, token, next1, next2 = map(F.col, ("prev3", "prev2", "prev1", "token", "next1", "next2"))
-
-    def phrase(*tokens: Column) -> Column:
-        return F.concat_ws(" ", *tokens)
-
-    ending = [
-        phrase(prev1, token),
-        phrase(prev2, prev1, token),
-        phrase(prev2, prev1),
-        phrase(prev3, prev2, prev1),
-        phrase(prev3, prev2),
+    spans = [
+        ("token", "next1", "next2"),
+        ("token", "next1"),
+        ("prev1", "token"),
+        ("prev2", "prev1", "token"),
+        ("prev2", "prev1"),
+        ("prev3", "prev2", "prev1"),
+        ("prev3", "prev2"),
     ]
     known = valence
     if rules.idioms:
-        before = F.coalesce(*[idiom(words, rules) for words in ending])
-        after = F.when(next1.isNotNull(), idiom(phrase(token, next1), rules))
-        long_after = F.when(next2.isNotNull(), idiom(phrase(token, next1, next2), rules))
-        known = F.coalesce(long_after, after, before, valence)
-    dampened = phrase(prev3, prev2).isin(list(rules.dampening_phrases)) | phrase(prev2, prev1).isin(
-        list(rules.dampening_phrases)
-    )
-    dampening = F.when(dampened, -rules.boost).otherwise(0.0)
-    return F.when(valence.isNull() | prev3.isNull(), valence).otherwise(known + dampening)
-
-
-def idiom(words: Column, rules: Rules) -> Column:
-    column = None
-    for phrase, valence in rules.idioms.items():
-        hit = words == phrase
-        column = F.when(hit, valence) if column is None else column.when(hit, valence)
-    return column
+        table = F.create_map(*[F.lit(part) for entry in rules.idioms.items() for part in entry])
+        phrases = F.array(*[F.concat_ws(" ", *span) for span in spans])
+        found = F.filter(F.transform(phrases, lambda phrase: F.try_element_at(table, phrase)), F.isnotnull)
+        known = F.coalesce(F.get(found, F.lit(0)), valence)
+    dampening = list(rules.dampening_phrases)
+    dampened = F.concat_ws(" ", "prev3", "prev2").isin(dampening) | F.concat_ws(" ", "prev2", "prev1").isin(dampening)
+    change = F.when(dampened, -rules.boost).otherwise(0.0)
+    return F.when(valence.isNull() | F.col("prev3").isNull(), valence).otherwise(known + change)
 
 
 def least_reversal(rules: Rules) -> Column:
