@@ -11,7 +11,7 @@ from galewatch.functions import temporal
 
 
 class MessageScan(NamedTuple):
-    """Well-formed records, and the malformed ones with their source text."""
+    """Well-formed records; and the malformed ones, with their text and file."""
 
     messages: DataFrame
     quarantine: DataFrame
@@ -20,23 +20,26 @@ class MessageScan(NamedTuple):
 def scan_messages(spark: SparkSession, *directories: str) -> MessageScan:
     """Read every ``*.json`` of all directories in one scan under one schema.
 
-    The full schema is parsed even when a query needs few fields, because a
-    record only counts as malformed relative to all of them. Land the good
-    records with :func:`land` once; later scans then prune nested columns.
+    A record is malformed when it is no JSON object or any field has another
+    type. Each line is parsed as a whole for that, whatever columns a query
+    asks for: the JSON source would parse the asked ones only, so that counts
+    would differ from query to query, and could not count records at all next
+    to a corrupt-record column. ``inline`` makes it one parse per line; a plain
+    column would be parsed again for the filter. Land the records with
+    :func:`galewatch.sources.tables.land` once; scans of that read only what
+    they need.
     """
-    with_corrupt = T.StructType(
-        [*schemas.RAW_MESSAGE.fields, T.StructField(schemas.CORRUPT, T.StringType())]
-    )
-    raw = (
-        spark.read.schema(with_corrupt)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .option("pathGlobFilter", "*.json")
-        .json(list(directories))
+    schema = T.StructType([*schemas.RAW_MESSAGE.fields, T.StructField(schemas.CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    lines = spark.read.option("pathGlobFilter", "*.json").text(list(directories)).where(F.col("value").rlike(r"\S"))
+    records = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.inline(F.array(F.from_json("value", schema, options))),
     )
+    corrupt = F.col(schemas.CORRUPT)
     return MessageScan(
-        messages=raw.where(F.col(schemas.CORRUPT).isNull()).drop(schemas.CORRUPT),
-        quarantine=raw.where(F.col(schemas.CORRUPT).isNotNull()),
+        messages=records.where(corrupt.isNull()).drop("file", schemas.CORRUPT),
+        quarantine=records.where(corrupt.isNotNull()).select("file", schemas.CORRUPT),
     )
 
 
