@@ -22,22 +22,25 @@ def date_counts(df: DataFrame, created_at: str) -> DataFrame:
     """(tweet_date as MM-dd, count) ascending.
 
     Counts by the raw date text first, so dates are parsed once per distinct
-    text after map-side combining instead of once per message.
+    text after map-side combining instead of once per message. Unreadable
+    dates are dropped by their count, not by the date: a filter on that would
+    be pushed down to the messages, parsing with it.
     """
     by_text = df.groupBy(temporal.calendar_text(F.col(created_at)).alias("calendar")).count()
     by_day = by_text.select(temporal.month_day(F.col("calendar")).alias("tweet_date"), "count")
-    return (
-        by_day.where(F.col("tweet_date").isNotNull())
-        .groupBy("tweet_date")
-        .agg(F.sum("count").alias("count"))
-        .orderBy("tweet_date")
-    )
+    readable = F.when(F.col("tweet_date").isNotNull(), F.col("count"))
+    counts = by_day.groupBy("tweet_date").agg(F.sum(readable).alias("count"))
+    return counts.where(F.col("count").isNotNull()).orderBy("tweet_date")
 
 
 def hourly_counts(df: DataFrame, date: str = "tweet_date", clock: str = "tweet_time") -> DataFrame:
-    """(tweet_date, tweet_hour, count), messages without a readable hour left out."""
+    """(tweet_date, tweet_hour, count), messages without a readable hour left out.
+
+    Those count as 0 and go by that, so that the hour is read once per message.
+    """
     hours = df.select(F.col(date).alias("tweet_date"), temporal.hour(F.col(clock)).alias("tweet_hour"))
-    return hours.where(F.col("tweet_hour").isNotNull()).groupBy("tweet_date", "tweet_hour").count()
+    counts = hours.groupBy("tweet_date", "tweet_hour").agg(F.count("tweet_hour").alias("count"))
+    return counts.where(F.col("count") > 0)
 
 
 def avg_per_hour(df: DataFrame, date: str = "tweet_date", clock: str = "tweet_time") -> DataFrame:

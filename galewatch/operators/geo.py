@@ -102,8 +102,9 @@ def cut(df: DataFrame, column: str, into: str, pieces: int) -> DataFrame:
     Only the ``pieces - 1`` cut points come to the driver.
     """
     shares = [i / pieces for i in range(1, pieces)]
-    points = df.approxQuantile(column, shares, 1 / (4 * pieces)) if shares else []
-    splits = [float("-inf"), *sorted(set(points)), float("inf")]
-    as_double = df.withColumn("_cut", F.col(column).cast("double"))
-    ranged = Bucketizer(splits=splits, inputCol="_cut", outputCol="_range").transform(as_double)
+    points = sorted(set(df.approxQuantile(column, shares, 1 / (4 * pieces)))) if shares else []
+    if not points:
+        return df.withColumn(into, F.lit(0))
+    ranges = Bucketizer(splits=[float("-inf"), *points, float("inf")], inputCol="_cut", outputCol="_range")
+    ranged = ranges.transform(df.withColumn("_cut", F.col(column).cast("double")))
     return ranged.withColumn(into, F.col("_range").cast("int")).drop("_cut", "_range")
