@@ -1,0 +1,119 @@
+"""Times the plain shape of four reports next to the library's: python -m checks.naive_shapes [directory].
+
+The plain shapes are what one writes first: a job per group, a Python function
+per row and an action per result, an RDD, a table collected to be sampled.
+They give the same kind of answer and are here to be measured only.
+"""
+
+import statistics
+import sys
+import time
+
+from pyspark.mllib.evaluation import MulticlassMetrics
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from checks import bindings, params
+from checks.compare import local_session
+from galewatch.functions import wordlists
+from galewatch.functions.text import lower_words
+from galewatch.operators import metrics, sentiment, words
+from tests import scorer
+
+STOPS = sorted(wordlists.ENGLISH | wordlists.PER_LABEL_TERMS)
+SCORED = StructType().add("sentiment", "string").add("score", "double")
+
+
+def words_by_label_plain(spark, directory):
+    joined = bindings.labelled(spark, directory, spread=True)
+    for (label,) in joined.select("label").distinct().collect():
+        found = joined.where(F.col("label") == label).select(F.explode(lower_words(F.col("text"))).alias("word"))
+        counts = found.where(~F.col("word").isin(STOPS) & (F.col("word") != "")).groupBy("word").count()
+        counts.orderBy(F.col("count").desc()).limit(20).toPandas()
+
+
+def words_by_label(spark, directory):
+    joined = bindings.labelled(spark, directory, spread=True)
+    words.top_words_by(joined, "label", "text", 20, STOPS).toPandas()
+
+
+def sentiment_plain(spark, directory):
+    lexicon = dict(params.LEXICON)
+
+    def rate(text):
+        score = scorer.score(text, lexicon)
+        return ("positive" if score >= 0.05 else "negative" if score <= -0.05 else "neutral"), score
+
+    documents = bindings.table(spark, directory, "documents", spread=True).select("text")
+    rated = documents.withColumn("rated", F.udf(rate, SCORED)("text")).select("text", "rated.*")
+    rated.groupBy("sentiment").count().collect()
+    for name in ("positive", "negative", "neutral"):
+        rated.where(F.col("sentiment") == name).limit(5).toPandas()
+
+
+def sentiment_shared(spark, directory):
+    documents = bindings.table(spark, directory, "documents", spread=True)
+    scored = sentiment.score_texts(documents, "text", bindings.lexicon(spark), ["doc_id"]).persist()
+    sentiment.sentiment_counts(scored).collect()
+    sentiment.sentiment_samples(documents, scored, "text", ["doc_id"]).toPandas()
+    scored.unpersist()
+
+
+def predictions(spark, directory):
+    long = (F.col("n_chars") >= params.LONG_TEXT).cast("double")
+    joined = bindings.labelled(spark, directory)
+    return joined.select(long.alias("prediction"), F.col("quality").cast("double").alias("label"))
+
+
+def metrics_plain(spark, directory):
+    pairs = predictions(spark, directory).rdd
+    rates = MulticlassMetrics(pairs)
+    for label in pairs.map(lambda row: row[1]).distinct().collect():
+        rates.precision(label), rates.recall(label), rates.fMeasure(label)
+    rates.weightedPrecision, rates.weightedRecall, rates.accuracy  # noqa: B018
+
+
+def metrics_counted(spark, directory):
+    cells = metrics.confusion(predictions(spark, directory), "label", "prediction").persist()
+    metrics.metrics_by_label(cells).toPandas()
+    metrics.metrics_overall(cells).toPandas()
+    cells.unpersist()
+
+
+def sample_plain(spark, directory):
+    documents = bindings.table(spark, directory, "documents")
+    documents.toPandas().sample(15, random_state=44)
+    documents.count()
+
+
+def sample_hashed(spark, directory):
+    bindings.QUERIES["dataset_preview"](spark, directory).toPandas()
+    bindings.table(spark, directory, "documents").count()
+
+
+PAIRS = {
+    "word_topk_by_label": (words_by_label_plain, words_by_label),
+    "sentiment counts + samples": (sentiment_plain, sentiment_shared),
+    "metrics by label + overall": (metrics_plain, metrics_counted),
+    "sample_n + count": (sample_plain, sample_hashed),
+}
+
+
+def seconds(run, spark, directory) -> float:
+    times = []
+    for _ in range(4):
+        started = time.perf_counter()
+        run(spark, directory)
+        times.append(time.perf_counter() - started)
+    return statistics.median(times[1:])
+
+
+def main(directory: str = "/root/testdata/sf0.1") -> None:
+    spark = local_session(8)
+    for name, (plain, ours) in PAIRS.items():
+        print(f"{name:28s} plain {seconds(plain, spark, directory):6.2f}s  ours {seconds(ours, spark, directory):6.2f}s")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main(*sys.argv[1:])

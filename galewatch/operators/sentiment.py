@@ -20,7 +20,6 @@ from galewatch.functions import wordlists
 from galewatch.operators.sampling import first_per_class
 
 UNITS = 1e8
-CLASSES = ("positive", "negative", "neutral")
 
 
 @dataclass(frozen=True)

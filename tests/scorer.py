@@ -6,12 +6,17 @@ import re
 from galewatch.functions import wordlists
 
 MARKS = [".", "!", "?", ",", ";", ":", "-", "'", '"', "!!", "!!!", "??", "???", "?!?", "!?!", "?!?!", "!?!?"]
+BOOSTS = dict.fromkeys(wordlists.INTENSIFIERS, 0.293) | dict.fromkeys(wordlists.DAMPENERS, -0.293)
 PUNCTUATION = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 def bare(token):
+    if not PUNCTUATION & {token[0], token[-1]}:
+        return token
     for mark in MARKS:
-        for rest in (token[len(mark) :] if token.startswith(mark) else "", token[: -len(mark)] if token.endswith(mark) else ""):
+        after = token[len(mark) :] if token.startswith(mark) else ""
+        before = token[: -len(mark)] if token.endswith(mark) else ""
+        for rest in (after, before):
             if len(rest) > 1 and not PUNCTUATION & set(rest):
                 return rest
     return token
@@ -41,8 +46,7 @@ def score(text, lexicon):
 def valence_at(tokens, i, lexicon, emphatic):
     token = tokens[i]
     low = token.lower()
-    boosts = dict.fromkeys(wordlists.INTENSIFIERS, 0.293) | dict.fromkeys(wordlists.DAMPENERS, -0.293)
-    if low in boosts or low not in lexicon:
+    if low in BOOSTS or low not in lexicon:
         return 0.0
     if low == "kind" and i + 1 < len(tokens) and tokens[i + 1].lower() == "of":
         return 0.0
@@ -53,8 +57,8 @@ def valence_at(tokens, i, lexicon, emphatic):
         if i < back:
             break
         prev = tokens[i - back]
-        if prev.lower() in boosts:
-            change = boosts[prev.lower()] * (-1 if v < 0 else 1)
+        if prev.lower() in BOOSTS:
+            change = BOOSTS[prev.lower()] * (-1 if v < 0 else 1)
             if emphatic and prev.isupper():
                 change += 0.733 if v > 0 else -0.733
             v += change * damping
