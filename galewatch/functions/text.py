@@ -22,10 +22,10 @@ def cased_tokens(text: Column) -> Column:
     punctuation at all, so ``good!!`` is ``good`` while ``:-)`` stays. Only
     tokens with such a mark at an end meet the pattern.
     """
-    marks = list(EDGE_MARKS)
+    marks = F.lit(EDGE_MARKS)
 
     def bare(token: Column) -> Column:
-        marked = F.substring(token, 1, 1).isin(marks) | F.substring(token, -1, 1).isin(marks)
+        marked = F.contains(marks, F.substring(token, 1, 1)) | F.contains(marks, F.substring(token, -1, 1))
         return F.when(marked, F.regexp_replace(token, f"^(?:{EDGE}({BARE})|({BARE}){EDGE})$", "$1$2")).otherwise(token)
 
     return F.transform(F.filter(F.split(text, SPACE), lambda token: F.char_length(token) > 1), bare)

@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 
 from galewatch.functions import text as tx
 from galewatch.functions import wordlists
+from galewatch.functions.literals import listed, number, quoted
 from galewatch.operators.sampling import first_per_class
 
 UNITS = 1e8
 
+# Fixed value: what makes any word a negation.
+NOT = "n't"
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -70,7 +74,7 @@ def score_texts(
     entries = lexicon.select("word", F.col("valence").cast("double").alias("valence"))
     met = tokens.join(entries, "word", "left")
     starts = F.col("pos").isNull() | (F.col("pos") == 0)
-    judged = in_context(met.where(F.col("valence").isNotNull() | starts), rules)
+    judged = in_context(met.where(F.col("valence").isNotNull() | starts), keys, rules)
     sums = judged.groupBy(*group).agg(
         F.count_if(starts).alias("copies"),
         F.sum(F.coalesce(F.round(F.col("valence") * UNITS).cast("long"), F.lit(0))).alias("units"),
@@ -158,68 +162,70 @@ def emphasis(text: Column, rules: Rules = PUBLISHED) -> Column:
     return exclamations + asked
 
 
-def in_context(met: DataFrame, rules: Rules) -> DataFrame:
-    """Turns the lexicon valence of a token into its valence in its text, rule after rule.
+def in_context(met: DataFrame, keys: Sequence[str], rules: Rules = PUBLISHED) -> DataFrame:
+    """(keys..., text_hash, emphasis, pos, valence): the lexicon valence as its text's rules change it.
 
-    Tokens without lexicon entry, booster words and the "kind" of "kind of"
-    carry null through all steps. What the neighbours are is told in columns
-    of their own first: repeated inside the steps it would make the generated
-    code too long for the JVM to compile.
+    Each column below builds on those above it. Tokens without lexicon entry,
+    booster words and the "kind" of "kind of" have null throughout. What the
+    neighbours are is said in columns of their own: repeated inside the steps
+    it would make the generated code too long for the JVM to compile. The
+    rules are SQL text since a column object per listed word would take longer
+    to build than a small query takes to run.
     """
-    valence = F.col("valence")
-    boosters = [*rules.intensifiers, *rules.dampeners]
-    muted = F.col("word").isin(boosters) | ((F.col("word") == "kind") & (F.lower("next1") == "of"))
-    step = met.withColumn("valence", F.when(~F.coalesce(muted, F.lit(False)), valence))
-    step = step.withColumns({f"low{back}": F.lower(f"prev{back}") for back in (1, 2, 3)})
-    step = step.withColumns(
-        {
-            "loud": F.col("mixed") & tx.shouted(F.col("token")),
-            **{f"boost{back}": boost(F.col(f"low{back}"), rules) for back in (1, 2, 3)},
-            **{f"factor{back}": reversal(back, rules) for back in (1, 2, 3)},
-        }
-    )
-    loudness = {back: F.col("mixed") & tx.shouted(F.col(f"prev{back}")) for back in (1, 2, 3)}
-
-    step = step.withColumn("valence", valence + F.when(F.col("loud"), away(valence, rules.shout)).otherwise(0.0))
-    for back, damping in enumerate(rules.damping, start=1):
-        strength = F.col(f"boost{back}")
-        signed = F.when(valence < 0, -strength).otherwise(strength)
-        louder = F.when(loudness[back], away(valence, rules.shout)).otherwise(0.0)
-        change = F.when(strength != 0, (signed + louder) * damping).otherwise(0.0)
-        step = step.withColumn("valence", (valence + change) * F.col(f"factor{back}"))
-    step = step.withColumn("valence", phrased(valence, rules))
-    return step.withColumn("valence", valence * least_reversal(rules) * contrast_weight(rules))
-
-
-def away(valence: Column, by: float) -> Column:
+    muted = f"word in {listed(rules.intensifiers, rules.dampeners)} or (word = 'kind' and lower(next1) = 'of')"
+    steps = {
+        "bare_valence": f"case when not coalesce({muted}, false) then valence end",
+        **{f"low{back}": f"lower(prev{back})" for back in (1, 2, 3)},
+        **{f"boost{back}": boost(f"low{back}", rules) for back in (1, 2, 3)},
+        **{f"factor{back}": reversal(back, rules) for back in (1, 2, 3)},
+        "valence0": f"""bare_valence
+            + case when {shouted("token")} then {away("bare_valence", rules.shout)} else 0D end""",
+        **{f"valence{back}": boosted(back, rules) for back in (1, 2, 3)},
+        "phrased": phrased("valence3", rules),
+        "in_text": f"phrased * {least_factor(rules)} * {contrast_factor(rules)}",
+    }
+    steps = [F.expr(sql).alias(name) for name, sql in steps.items()]
+    group = [*keys, "text_hash", "emphasis", "pos"]
+    return met.select("*", *steps).select(*group, F.col("in_text").alias("valence"))
+
+
+def shouted(token: str) -> str:
+    return f"mixed and upper({token}) = {token} and lower({token}) <> {token}"
+
+
+def away(valence: str, by: float) -> str:
     """``by`` with the sign that takes a valence further from zero."""
-    return F.when(valence > 0, by).otherwise(-by)
+    return f"case when {valence} > 0 then {number(by)} else {number(-by)} end"
 
 
-def boost(word: Column, rules: Rules) -> Column:
+def boost(word: str, rules: Rules) -> str:
     """What a booster word adds to a positive valence, 0 for other words."""
-    return (
-        F.when(word.isin(list(rules.intensifiers)), rules.boost)
-        .when(word.isin(list(rules.dampeners)), -rules.boost)
-        .otherwise(0.0)
-    )
+    return f"""case when {word} in {listed(rules.intensifiers)} then {number(rules.boost)}
+                    when {word} in {listed(rules.dampeners)} then {number(-rules.boost)} else 0D end"""
+
+
+def boosted(back: int, rules: Rules) -> str:
+    """The valence after a booster, in capitals perhaps, and a negation ``back`` places before."""
+    before = f"valence{back - 1}"
+    signed = f"case when {before} < 0 then -boost{back} else boost{back} end"
+    loud = f"case when {shouted(f'prev{back}')} then {away(before, rules.shout)} else 0D end"
+    damped = f"({signed} + {loud}) * {number(rules.damping[back - 1])}"
+    return f"({before} + case when boost{back} <> 0 then {damped} else 0D end) * factor{back}"
 
 
-def reversal(back: int, rules: Rules) -> Column:
+def reversal(back: int, rules: Rules) -> str:
     """Factor for a negation ``back`` places before; "never so" and "never this" strengthen instead."""
-    word = F.col(f"low{back}")
-    negated = word.isin(list(rules.negations)) | word.contains("n't")
-    turned = F.when(negated, rules.negate).otherwise(1.0)
-    if back == 1:
-        return turned
-    never = F.col(f"prev{back}") == "never"
-    pointing = {places: F.col(f"prev{places}").isin("so", "this") for places in (1, 2)}
-    if back == 2:
-        return F.when(never & pointing[1], 1.5).otherwise(turned)
-    return F.when(word.isNotNull() & ((never & pointing[2]) | pointing[1]), 1.25).otherwise(turned)
-
-
-def phrased(valence: Column, rules: Rules) -> Column:
+    strengthened = {
+        1: "",
+        2: "when prev2 = 'never' and prev1 in ('so', 'this') then 1.5D",
+        3: """when prev3 is not null and ((prev3 = 'never' and prev2 in ('so', 'this')) or prev1 in ('so', 'this'))
+                then 1.25D""",
+    }[back]
+    negated = f"low{back} in {listed(rules.negations)} or contains(low{back}, {quoted(NOT)})"
+    return f"case {strengthened} when {negated} then {number(rules.negate)} else 1D end"
+
+
+def phrased(valence: str, rules: Rules) -> str:
     """Valence of the idiom the token is part of, and the dampening by a two-word phrase before it.
 
     Looked at only from the fourth token on, as in the published scorer. Later
@@ -227,37 +233,33 @@ def phrased(valence: Column, rules: Rules) -> Column:
     come first here.
     """
     spans = [
-        ("token", "next1", "next2"),
-        ("token", "next1"),
-        ("prev1", "token"),
-        ("prev2", "prev1", "token"),
-        ("prev2", "prev1"),
-        ("prev3", "prev2", "prev1"),
-        ("prev3", "prev2"),
+        "token, next1, next2",
+        "token, next1",
+        "prev1, token",
+        "prev2, prev1, token",
+        "prev2, prev1",
+        "prev3, prev2, prev1",
+        "prev3, prev2",
     ]
     known = valence
     if rules.idioms:
-        table = F.create_map(*[F.lit(part) for entry in rules.idioms.items() for part in entry])
-        phrases = F.array(*[F.concat_ws(" ", *span) for span in spans])
-        found = F.filter(F.transform(phrases, lambda phrase: F.try_element_at(table, phrase)), F.isnotnull)
-        known = F.coalesce(F.get(found, F.lit(0)), valence)
-    dampening = list(rules.dampening_phrases)
-    dampened = F.concat_ws(" ", "prev3", "prev2").isin(dampening) | F.concat_ws(" ", "prev2", "prev1").isin(dampening)
-    change = F.when(dampened, -rules.boost).otherwise(0.0)
-    return F.when(valence.isNull() | F.col("prev3").isNull(), valence).otherwise(known + change)
+        entries = ", ".join(f"{quoted(phrase)}, {number(value)}" for phrase, value in rules.idioms.items())
+        phrases = ", ".join(f"concat_ws(' ', {span})" for span in spans)
+        found = f"transform(array({phrases}), phrase -> try_element_at(map({entries}), phrase))"
+        known = f"coalesce(get(filter({found}, value -> value is not null), 0), {valence})"
+    dampening = listed(rules.dampening_phrases)
+    dampened = f"concat_ws(' ', prev3, prev2) in {dampening} or concat_ws(' ', prev2, prev1) in {dampening}"
+    return f"""case when {valence} is null or prev3 is null then {valence}
+                    else {known} + case when {dampened} then {number(-rules.boost)} else 0D end end"""
 
 
-def least_reversal(rules: Rules) -> Column:
+def least_factor(rules: Rules) -> str:
     """Factor for "least" directly before, unless it is "at least" or "very least"."""
-    softened = F.coalesce(F.lower("prev2").isin("at", "very"), F.lit(False))
-    return F.when((F.lower("prev1") == "least") & ~softened, rules.negate).otherwise(1.0)
+    softened = "coalesce(low2 in ('at', 'very'), false)"
+    return f"case when low1 = 'least' and not {softened} then {number(rules.negate)} else 1D end"
 
 
-def contrast_weight(rules: Rules) -> Column:
+def contrast_factor(rules: Rules) -> str:
     """Factor for standing before or after the text's first contrast word."""
-    turn, at = F.col("turn"), F.col("pos") + 1
-    return (
-        F.when((turn > 0) & (at < turn), rules.before_contrast)
-        .when((turn > 0) & (at > turn), rules.after_contrast)
-        .otherwise(1.0)
-    )
+    return f"""case when turn > 0 and pos + 1 < turn then {number(rules.before_contrast)}
+                    when turn > 0 and pos + 1 > turn then {number(rules.after_contrast)} else 1D end"""

@@ -9,6 +9,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from galewatch.functions.literals import listed
 from galewatch.functions.text import lower_words
 
 TOP_WORDS = 20
@@ -28,7 +29,7 @@ def words(df: DataFrame, text: str, stop_words: StopWords = (), carry: Sequence[
         stops = stop_words.select(F.col(stop_words.columns[0]).alias("word"))
         return found.join(stops, "word", "left_anti").select(*carry, "word")
     stops = sorted(stop_words)
-    return found.where(~F.col("word").isin(stops)) if stops else found
+    return found.where(f"word not in {listed(stops)}") if stops else found
 
 
 def top(df: DataFrame, column: str, k: int) -> DataFrame:
