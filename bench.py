@@ -2,14 +2,13 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose
 data and cores; arguments name single queries. Each query is built and its rows
-fully produced (no-op sink): once to warm the JVM, then three times, of which
-the median counts.
+fully produced (no-op sink): once to warm the JVM, then twice, of which the
+faster run counts.
 """
 
 import json
 import os
 import re
-import statistics
 import sys
 import time
 
@@ -32,8 +31,8 @@ def main(keys: list[str]) -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"))
     seconds = {}
     for key in keys or QUERIES:
-        warm, *runs = [timed(lambda: produce(QUERIES[key](spark, directory))) for _ in range(4)]  # noqa: B023
-        seconds[key] = statistics.median(runs)
+        warm, *runs = [timed(lambda: produce(QUERIES[key](spark, directory))) for _ in range(3)]  # noqa: B023
+        seconds[key] = min(runs)
     scale = re.search(r"sf([\d.]+)", directory)
     print(
         json.dumps(
