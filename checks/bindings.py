@@ -133,9 +133,9 @@ def flatten_nested(spark, directory):
 
 @query
 def parse_created_at(spark, directory):
-    return posts(spark, directory).select(
-        "event_id", "tweet_date", "tweet_time", F.col("created_ts").cast("timestamp_ntz").alias("created_ts")
-    )
+    local = F.col("created_ts").cast("timestamp_ntz")
+    at_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    return posts(spark, directory).select("event_id", "tweet_date", "tweet_time", at_utc.alias("created_ts"))
 
 
 @query

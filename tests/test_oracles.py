@@ -21,6 +21,16 @@ def test_same_as_sql(spark, tables, key):
     assert difference(QUERIES[key](spark, DIRECTORY), tables, ORACLES[key]) is None
 
 
+@pytest.mark.parametrize("key", ["flatten_nested", "parse_created_at", "date_counts", "avg_per_hour", "running_avg"])
+def test_same_in_another_time_zone(spark, tables, key):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        assert difference(QUERIES[key](spark, DIRECTORY), tables, ORACLES[key]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_only_the_trained_classifiers_lack_sql():
     assert set(QUERIES) - set(ORACLES) == {"classify_rf", "classify_lr"}
     assert set(ORACLES) <= set(QUERIES)
