@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewatch.llm import byte_bpe, decontaminate, line_dedup, quality_rules, simhash, token_files, url_filter
+from galewatch.llm import (
+    byte_bpe,
+    decontaminate,
+    line_dedup,
+    ordinal,
+    passages,
+    pii,
+    quality_rules,
+    simhash,
+    token_files,
+    url_filter,
+)
 
 RULES = [
     url_filter.Rule("com", "/", "allow"),
@@ -21,6 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,6 +53,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded by both labels: toxic or poor documents are the lower grades."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
+    ratings = labels.where("quality is not null and toxic is not null").select("doc_id", grade.alias("grade"))
+    return ordinal.graded(documents, ratings).select("doc_id", "expected_grade", "p_at_least_1", "p_at_least_2", "kept")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Beside the rules: keys (host and path) that some page of the corpus was reached at through a campaign link are listed."""
     url = F.col("url")
@@ -57,6 +80,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = passages.without_repeats(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark)
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
