@@ -23,8 +23,9 @@ from galewatch.operators import (
     sentiment,
     words,
 )
+from galewatch.plans import reports
 from galewatch.sources import messages
-from galewatch.sources.tables import parameter_table, read_table
+from galewatch.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +40,8 @@ def query(build: Query) -> Query:
 # ---- inputs -----------------------------------------------------------------
 
 
-def table(spark: SparkSession, directory: str, name: str, spread: bool = False) -> DataFrame:
-    return read_table(spark, f"{directory}/{name}.parquet", spread)
+def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    return read_table(spark, f"{directory}/{name}.parquet")
 
 
 def created_at(ts: str = "ts"):
@@ -82,7 +83,7 @@ def nested_posts(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def labelled(spark: SparkSession, directory: str, spread: bool = False) -> DataFrame:
+def labelled(spark: SparkSession, directory: str) -> DataFrame:
     """Documents with their label; ids arrive as text, as in the label file."""
     labels = table(spark, directory, "labels").select(
         F.col("doc_id").cast("string").alias("doc_id"),
@@ -90,28 +91,32 @@ def labelled(spark: SparkSession, directory: str, spread: bool = False) -> DataF
         "toxic",
         F.concat_ws("_", F.col("quality").cast("string"), F.col("toxic").cast("string")).alias("label"),
     )
-    return messages.join_labels(table(spark, directory, "documents", spread), labels, "doc_id")
+    return messages.join_labels(table(spark, directory, "documents"), labels, "doc_id")
 
 
-def lexicon(spark: SparkSession) -> DataFrame:
-    return parameter_table(spark, ["word", "valence"], params.LEXICON)
+def scored_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    return sentiment.score_texts(documents, "text", params.LEXICON, ["doc_id"], params.RULES)
 
 
-def scored_documents(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    return sentiment.score_texts(documents, "text", lexicon(spark), ["doc_id"], params.RULES)
+def placed_documents(spark: SparkSession, directory: str) -> DataFrame:
+    """Labelled documents with a place made from their language; some have none, or one without a state."""
+    place = F.lit(None).cast("string")
+    for lang, name in params.PLACES.items():
+        place = F.when(F.col("lang") == lang, name).otherwise(place)
+    return labelled(spark, directory).withColumn("tweet_place", place)
 
 
-def polar_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """Labelled documents in two of the languages, which stand in for the states."""
-    return labelled(spark, directory, spread=True).where(F.col("lang").isin(*params.POLAR_LANGUAGES))
+def state_sentiment(spark: SparkSession, directory: str) -> reports.Sentiment:
+    return reports.state_sentiment(
+        placed_documents(spark, directory), params.LEXICON, params.PLACED, ["doc_id"], rules=params.RULES
+    )
 
 
 # ---- import-time pipeline -----------------------------------------------------
 
 
-@query
-def flatten_nested(spark, directory):
-    flat = messages.flatten(nested_posts(spark, directory))
+def flat_columns(flat: DataFrame) -> DataFrame:
+    """The flat message table with its arrays as plain columns."""
     return flat.select(
         "tweet_id",
         "tweet_date_full",
@@ -131,24 +136,55 @@ def flatten_nested(spark, directory):
     )
 
 
+def message_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Events as JSON lines, some of them cut off."""
+    posts = nested_posts(spark, directory)
+    line = F.to_json(F.struct("*"))
+    cut_off = F.col("id") % 97 == 5
+    return posts.select(F.when(cut_off, F.substring(line, 1, 40)).otherwise(line).alias("value"), F.lit("events").alias("file"))
+
+
+@query
+def flatten_nested(spark, directory):
+    return flat_columns(messages.flatten(nested_posts(spark, directory)))
+
+
+@query
+def json_scan(spark, directory):
+    return flat_columns(messages.flatten(messages.parse_messages(message_lines(spark, directory)).messages))
+
+
+@query
+def json_quarantine(spark, directory):
+    return counting.total(messages.parse_messages(message_lines(spark, directory)).quarantine, "malformed")
+
+
+@query
+def label_scan(spark, directory):
+    confidence = F.when(F.col("quality") == 1, F.concat(F.lit("0."), F.col("toxic").cast("string")))
+    fields = ["doc_id", F.lit("2017-08-28"), F.concat_ws("_", "quality", "toxic"), F.coalesce(confidence, F.lit(""))]
+    lines = table(spark, directory, "labels").select(F.concat_ws("\t", *fields).alias("value"))
+    return messages.parse_labels(lines)
+
+
 @query
 def parse_created_at(spark, directory):
-    local = F.col("created_ts").cast("timestamp_ntz")
-    at_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    since = "make_dt_interval(0, 0, 0, cast(unix_seconds(created_ts) as decimal(18, 6)))"
+    at_utc = F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + {since}")
     return posts(spark, directory).select("event_id", "tweet_date", "tweet_time", at_utc.alias("created_ts"))
 
 
 @query
 def union_all(spark, directory):
     return messages.union_all(
-        table(spark, directory, "conversations").select(F.col("conv_id").alias("id"), "text", "role"),
-        table(spark, directory, "documents").select(F.col("doc_id").alias("id"), "lang", "text"),
+        table(spark, directory, "conversations").withColumnRenamed("conv_id", "id"),
+        table(spark, directory, "documents").withColumnRenamed("doc_id", "id"),
     )
 
 
 @query
 def label_join(spark, directory):
-    return labelled(spark, directory).select("doc_id", "lang", "n_chars", "label")
+    return labelled(spark, directory)
 
 
 # ---- previews -------------------------------------------------------------------
@@ -224,13 +260,13 @@ def state_counts(spark, directory):
 @query
 def word_topk(spark, directory):
     stops = wordlists.ENGLISH | wordlists.OVERALL_TERMS
-    return words.top_words(table(spark, directory, "documents", spread=True), "text", 20, stops)
+    return words.top_words(table(spark, directory, "documents"), "text", 20, stops)
 
 
 @query
 def word_topk_by_label(spark, directory):
     stops = wordlists.ENGLISH | wordlists.PER_LABEL_TERMS
-    return words.top_words_by(labelled(spark, directory, spread=True), "label", "text", 20, stops)
+    return words.top_words_by(labelled(spark, directory), "label", "text", 20, stops)
 
 
 @query
@@ -264,30 +300,29 @@ def trajectory_segments(spark, directory):
 
 @query
 def sentiment_score(spark, directory):
-    scored = scored_documents(spark, table(spark, directory, "documents", spread=True))
+    scored = scored_documents(spark, table(spark, directory, "documents"))
     return scored.select("doc_id", "copies", "score", "sentiment")
 
 
 @query
 def sentiment_counts(spark, directory):
-    return sentiment.sentiment_counts(scored_documents(spark, table(spark, directory, "documents", spread=True)))
+    return sentiment.sentiment_counts(scored_documents(spark, table(spark, directory, "documents")))
 
 
 @query
 def sentiment_samples(spark, directory):
-    documents = table(spark, directory, "documents", spread=True)
+    documents = table(spark, directory, "documents")
     return sentiment.sentiment_samples(documents, scored_documents(spark, documents), "text", ["doc_id"])
 
 
 @query
 def sentiment_counts_by_state(spark, directory):
-    return sentiment.sentiment_counts(scored_documents(spark, polar_documents(spark, directory)))
+    return state_sentiment(spark, directory).counts
 
 
 @query
 def sentiment_samples_by_state(spark, directory):
-    documents = polar_documents(spark, directory)
-    return sentiment.sentiment_samples(documents, scored_documents(spark, documents), "text", ["doc_id"])
+    return state_sentiment(spark, directory).samples
 
 
 # ---- learning ---------------------------------------------------------------------
@@ -322,7 +357,7 @@ def rounded(matrix: DataFrame) -> DataFrame:
 
 @query
 def hash_split(spark, directory):
-    return sampling.hash_split(table(spark, directory, "documents").select("doc_id"), "doc_id")
+    return sampling.hash_split(table(spark, directory, "documents"), "doc_id")
 
 
 def rule_cells(spark: SparkSession, directory: str) -> DataFrame:
@@ -341,10 +376,19 @@ def metrics_overall(spark, directory):
     return metrics.metrics_overall(rule_cells(spark, directory)).withColumn("value", F.round("value", 9))
 
 
-def classified(spark: SparkSession, directory: str, classifier) -> DataFrame:
-    rows = labelled(spark, directory).withColumn("flag", F.col("lang") == "en")
-    encoded = encoding.feature_encode(rows, "label", "flag", ["n_chars"], keep=["doc_id"])
-    result = classify.classify(encoded, classifier, "doc_id", "label", ["n_chars", "flag_index"])
+def topics(spark: SparkSession, directory: str) -> DataFrame:
+    """Labelled documents under the names of labelled messages; the confidence tells the label."""
+    return labelled(spark, directory).select(
+        F.col("doc_id").alias("tweet_id"),
+        "text",
+        F.when(F.col("quality") == 1, "good").otherwise("poor").alias("AIDRLabel"),
+        F.col("quality").cast("string").alias("AIDRConfidence"),
+        F.col("n_chars").alias("user_followers"),
+        (F.col("toxic") == 1).alias("user_verified"),
+    )
+
+
+def shown(result: classify.Classification) -> DataFrame:
     return result.by_label.withColumns(
         {"val_accuracy": F.lit(result.val_accuracy), "test_accuracy": F.lit(result.test_accuracy)}
     )
@@ -352,12 +396,30 @@ def classified(spark: SparkSession, directory: str, classifier) -> DataFrame:
 
 @query
 def classify_rf(spark, directory):
-    return classified(spark, directory, classify.random_forest("label_index"))
+    return shown(reports.classify_random_forest(topics(spark, directory)))
 
 
 @query
 def classify_lr(spark, directory):
-    return classified(spark, directory, classify.logistic_regression("label_index"))
+    return shown(reports.classify_logistic_regression(topics(spark, directory)))
+
+
+@query
+def classify_overall(spark, directory):
+    return reports.classify_logistic_regression(topics(spark, directory)).overall
+
+
+@query
+def classify_distribution(spark, directory):
+    return reports.classify_logistic_regression(topics(spark, directory)).label_distribution
+
+
+@query
+def feature_correlation(spark, directory):
+    rows = topics(spark, directory).withColumn(
+        "AIDRConfidence", F.when(F.col("user_followers") % 5 == 0, "n/a").otherwise(F.col("AIDRConfidence"))
+    )
+    return rounded(reports.feature_correlation(rows).matrix)
 
 
 # The key of the plain matrix; the function is named apart from the module it calls.

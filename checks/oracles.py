@@ -1,7 +1,7 @@
 """The bound queries in SQL, for DuckDB over the same stored tables."""
 
 from checks import params
-from galewatch.functions import text, wordlists
+from galewatch.functions import wordlists
 from galewatch.operators.geo import COLORS, DAMAGE
 
 RULES = params.RULES
@@ -37,10 +37,20 @@ select event_id, strftime(ts, '%a %b %d') as tweet_date, strftime(ts, '%H:%M:%S'
 from events"""
 
 ORACLES["union_all"] = """
-select conv_id as id, text, role, null::varchar as lang from conversations
-union all select doc_id, text, null, lang from documents"""
+select conv_id as id, turn, role, text, null::varchar as lang, null::varchar as source, null::bigint as n_chars
+from conversations
+union all select doc_id, null, null, text, lang, source, n_chars from documents"""
 
-ORACLES["label_join"] = f"select doc_id, lang, n_chars, label from {LABELLED}"
+ORACLES["label_join"] = f"select * from {LABELLED}"
+
+MALFORMED = "event_id % 97 = 5"
+ORACLES["json_scan"] = f"{ORACLES['flatten_nested']} where not ({MALFORMED})"
+ORACLES["json_quarantine"] = f"select 'malformed' as dataset, count(*) as \"count\" from events where {MALFORMED}"
+
+ORACLES["label_scan"] = """
+select doc_id::varchar as tweet_id, quality || '_' || toxic as "AIDRLabel",
+  case when quality = 1 then '0.' || toxic end as "AIDRConfidence"
+from labels"""
 
 # ---- previews -------------------------------------------------------------------
 
@@ -122,6 +132,11 @@ where end_lat is not null"""
 # ---- sentiment --------------------------------------------------------------------
 
 
+def known(back: int) -> str:
+    """Whether the word so many tokens before is in the lexicon itself."""
+    return f"coalesce(lower(prev{back}) in {quoted(word for word, _ in params.LEXICON)}, false)"
+
+
 def boost_step(back: int) -> str:
     """Valence after the booster and the negation ``back`` tokens before."""
     prev, damping = f"prev{back}", RULES.damping[back - 1]
@@ -138,9 +153,9 @@ def boost_step(back: int) -> str:
         3: """when prev3 is not null and ((prev3 = 'never' and prev2 in ('so', 'this')) or prev1 in ('so', 'this'))
                then 1.25::double""",
     }[back]
-    return f"""({boosted}) * case {praise}
+    return f"""case when {known(back)} then v else ({boosted}) * case {praise}
       when lower({prev}) in {quoted(RULES.negations)} or lower({prev}) like '%n''t%' then {RULES.negate}::double
-      else 1::double end"""
+      else 1::double end end"""
 
 
 def idiom(words: str) -> str:
@@ -148,7 +163,7 @@ def idiom(words: str) -> str:
     return f"(case {words} {hits} end)"
 
 
-PHRASED = f"""case when v is null or prev3 is null then v else coalesce(
+PHRASED = f"""case when v is null or prev3 is null or {known(3)} then v else coalesce(
     case when next2 is not null then {idiom("token || ' ' || next1 || ' ' || next2")} end,
     case when next1 is not null then {idiom("token || ' ' || next1")} end,
     {idiom("prev1 || ' ' || token")}, {idiom("prev2 || ' ' || prev1 || ' ' || token")},
@@ -158,7 +173,10 @@ PHRASED = f"""case when v is null or prev3 is null then v else coalesce(
            or prev2 || ' ' || prev1 in {quoted(RULES.dampening_phrases)} then -{RULES.boost}::double
          else 0::double end end"""
 
-EDGE_OR_BARE = f"^(?:{text.EDGE}({text.BARE})|({text.BARE}){text.EDGE})$".replace("'", "''")
+SPACE = r"[\s\p{Z}]+"
+MARK = r"(?:\?!\?!|!\?!\?|\?!\?|!\?!|!!!|\?\?\?|!!|\?\?|[.!?,;:'\"-])"
+PLAIN = r"[^\s\p{Z}!-/:-@\[-`{-~]{2,}"
+EDGE_OR_BARE = f"^(?:{MARK}({PLAIN})|({PLAIN}){MARK})$".replace("'", "''")
 SHOUTED = "upper(x) = x and lower(x) <> x"
 
 
@@ -174,7 +192,7 @@ def scored(documents: str) -> str:
         *[(f"boosted{back}", boost_step(back)) for back in (1, 2, 3)],
         ("idiomatic", PHRASED),
         ("contrasted", f"""v
-          * case when lower(prev1) = 'least' and not coalesce(lower(prev2) in ('at', 'very'), false)
+          * case when lower(prev1) = 'least' and not {known(1)} and not coalesce(lower(prev2) in ('at', 'very'), false)
                  then {RULES.negate}::double else 1::double end
           * case when turn > 0 and pos + 1 < turn then {RULES.before_contrast}::double
                  when turn > 0 and pos + 1 > turn then {RULES.after_contrast}::double else 1::double end"""),
@@ -186,7 +204,7 @@ def scored(documents: str) -> str:
     return f"""
 texts as (
   select doc_id, text, list_transform(
-      list_filter(string_split_regex(text, '{text.SPACE}'), lambda x: length(x) > 1),
+      list_filter(string_split_regex(text, '{SPACE}'), lambda x: length(x) > 1),
       lambda x: regexp_replace(x, '{EDGE_OR_BARE}', '\\1\\2')) as tokens
   from {documents} where text is not null),
 marked as (
@@ -224,7 +242,10 @@ scored as (
   from rated)"""
 
 
-POLAR = f"(select * from {LABELLED} where lang in {quoted(params.POLAR_LANGUAGES)})"
+PLACE = "case " + " ".join(f"when lang = '{k}' then '{v}'" for k, v in params.PLACES.items()) + " end"
+STATE = f"case when strpos({PLACE}, ',') > 0 then split_part({PLACE}, ',', 2) end"
+PLACED = " or ".join(f"{STATE} like '%{state}%'" for state in params.PLACED)
+POLAR = f"(select * from {LABELLED} where {PLACED})"
 COUNTS = 'select sentiment, sum(copies)::bigint as "count" from scored group by 1'
 SAMPLES = """select doc_id, text, sentiment, score,
   (row_number() over (partition by sentiment order by doc_id))::integer as rank
@@ -279,8 +300,8 @@ select feature_x, feature_y, round(max(corr), 6) as corr
 from ({correlations(params.FEATURES, "matrix")}) group by 1, 2"""
 
 ORACLES["hash_split"] = """
-select doc_id, case when h < '99999999' then 'train' when h < 'cccccccc' then 'val' else 'test' end as split
-from (select doc_id, md5(doc_id::varchar || ':123') as h from documents)"""
+select * exclude (h), case when h < '99999999' then 'train' when h < 'cccccccc' then 'val' else 'test' end as split
+from (select *, md5(doc_id::varchar || ':123') as h from documents)"""
 
 RATES = f"""
 with pairs as (select quality as y, (n_chars >= {params.LONG_TEXT})::integer as p from {LABELLED}),
@@ -299,3 +320,31 @@ ORACLES["metrics_overall"] = f"""{RATES}
 select 'Precision' as metric, round(sum(precision * support) / sum(support), 9) as value from rates
 union all select 'Recall', round(sum(recall * support) / sum(support), 9) from rates
 union all select 'Accuracy', round(sum(hits) / sum(support), 9) from rates"""
+
+TOPICS = f"""
+topics as (
+  select * replace (case when quality = 1 then 'good' else 'poor' end as label), md5(doc_id::varchar || ':123') as h
+  from {LABELLED}),
+tested as (select label, count(*) as support from topics where h >= 'cccccccc' group by 1)"""
+# The confidence separates the labels, so a trained model makes no mistake.
+RIGHT = f"""with {TOPICS}
+select label, 1::double as precision, 1::double as recall, 1::double as f1, support,
+  1::double as val_accuracy, 1::double as test_accuracy
+from tested"""
+ORACLES["classify_rf"] = RIGHT
+ORACLES["classify_lr"] = RIGHT
+ORACLES["classify_overall"] = "select unnest(['Precision', 'Recall', 'Accuracy']) as metric, 1::double as value"
+ORACLES["classify_distribution"] = f"""
+with {TOPICS}
+select label, (row_number() over (order by count(*) desc, label) - 1)::integer as label_index, count(*) as "count"
+from topics group by label"""
+
+ENCODED = ("user_followers", "AIDRLabel_index", "AIDRConfidence_numeric", "user_verified_index")
+ORACLES["feature_correlation"] = f"""
+with {TOPICS},
+topic as (select label, (row_number() over (order by count(*) desc, label) - 1) as i from topics group by label),
+encoded as materialized (
+  select n_chars as user_followers, i as AIDRLabel_index, quality as AIDRConfidence_numeric, toxic as user_verified_index
+  from topics join topic using (label) where n_chars % 5 <> 0)
+select feature_x, feature_y, round(max(corr), 6) as corr
+from ({correlations(ENCODED, "encoded")}) group by 1, 2"""

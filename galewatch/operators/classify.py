@@ -42,7 +42,8 @@ def classify(
 ) -> Classification:
     """Trains on 60 % of the rows, scores the rest once and derives every figure from those counts.
 
-    Rows are split by the hash of ``key``. They are kept, as numbers only, for
+    Rows are split by the hash of ``key``; a feature without a number is an
+    error, as the encoding has set such rows apart. They are kept, as numbers only, for
     the passes of the training; a part lost with its executor is recomputed
     from the source. What reaches the driver is one count per split and pair
     of classes.
@@ -53,7 +54,7 @@ def classify(
         hashing.split_name(F.col(key), seed=seed).alias("split"),
         *dict.fromkeys([*features, label_index]),
     )
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     vectors = assembler.transform(numbers).select("split", label_index, "features")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:

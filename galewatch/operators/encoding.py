@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MOST_LABELS = 1_000_000  # distinct labels, which one task numbers
+
+
 class Encoded(NamedTuple):
     """Rows with every number present, those without, and the fitted index of the label."""
 
@@ -26,11 +29,13 @@ def flag_index(flag: Column) -> Column:
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """(label, label_index, count): 0 for the most frequent label, ties alphabetical; null labels left out.
 
-    The window runs over one row per distinct label.
+    The window runs over one row per distinct label. Labels are a vocabulary:
+    more than MOST_LABELS of them are an error.
     """
     counts = df.where(F.col(label).isNotNull()).groupBy(label).count()
-    by_count = Window.orderBy(F.col("count").desc(), label)
-    return counts.select(label, (F.row_number().over(by_count) - 1).alias("label_index"), "count")
+    index = F.row_number().over(Window.orderBy(F.col("count").desc(), label)) - 1
+    too_many = F.raise_error(F.lit(f"{label} has more than {MOST_LABELS} values")).cast("int")
+    return counts.select(label, F.when(index < MOST_LABELS, index).otherwise(too_many).alias("label_index"), "count")
 
 
 def fit_label_index(df: DataFrame, label: str, output: str) -> StringIndexerModel:

@@ -1,8 +1,9 @@
 """Points for maps and segments of tracks."""
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from galewatch.sources.tables import parameter_table
 
@@ -47,8 +48,8 @@ def points_union(messages: DataFrame, position: str, damage: DataFrame) -> DataF
 def trajectory_segments(df: DataFrame, track: str, seq: str, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """(track, seq, start_lat, start_lon, end_lat, end_lon) for each point that has a next one.
 
-    ``seq`` is numeric and unique in its track; points without track or seq are
-    on no line. A track can hold most of all points, so no window runs over a
+    ``seq`` is a number, date or timestamp and unique in its track; points
+    without track or seq are on no line. A track can hold most of all points, so no window runs over a
     whole one: quantiles of ``seq`` cut it into pieces of about rows / shuffle
     partitions, lead() runs within a piece, and the last point of a piece gets
     the first one of the next piece, found among the pieces' heads (one row
@@ -60,7 +61,8 @@ def trajectory_segments(df: DataFrame, track: str, seq: str, lat: str = "lat", l
         F.col(lat).alias("start_lat"),
         F.col(lon).alias("start_lon"),
     ).dropna(subset=["track", "seq"])
-    pieces = cut(points, "seq", "piece", int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = cut(points.withColumn("_place", numeric(points, "seq")), "_place", "piece", count).drop("_place")
 
     heads = pieces.groupBy("track", "piece").agg(
         F.min_by("start_lat", "seq").alias("lat"), F.min_by("start_lon", "seq").alias("lon")
@@ -96,6 +98,14 @@ def trajectory_segments(df: DataFrame, track: str, seq: str, lat: str = "lat", l
     )
 
 
+def numeric(df: DataFrame, column: str) -> Column:
+    """A number in the order of a column's values."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.unix_date(column) if isinstance(kind, T.DateType) else F.col(column)
+
+
 def cut(df: DataFrame, column: str, into: str, pieces: int) -> DataFrame:
     """Adds the number of the quantile range a value lies in; equal values share a range.
 

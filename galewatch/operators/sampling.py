@@ -1,27 +1,42 @@
 """Exact-size samples and splits that come out the same on every run and layout."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galewatch.functions import hashing
 
+SHARES = 64  # parts in which a class is ranked first
+
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows in seeded hash order of the key: a top-n per task, then of those."""
+    """n rows in seeded hash order of the key: a top-n per task, then of those.
+
+    Rows that share a key are ordered by a hash of all columns, so the sample
+    is the same on any layout. (Maps have no hash; they don't count here.)
+    """
     key_column = F.col(key)
-    return df.orderBy(hashing.seeded(key_column, seed), key_column).limit(n)
+    hashable = [field.name for field in df.schema if "map<" not in field.dataType.simpleString()]
+    return df.orderBy(hashing.seeded(key_column, seed), key_column, F.xxhash64(*hashable)).limit(n)
 
 
 def first_per_class(df: DataFrame, label: str, n: int, *order: str) -> DataFrame:
     """The first n rows of every class in the given order, with their position ``rank``.
 
-    The limit is applied before the exchange too, so a class that holds most
-    rows still brings only n rows per upstream task to its final task.
+    Ranked twice: within shares of a class that the hash of the order key
+    deals out, then what is left of them within the class. So no task gets more
+    of a class than a share of it, or n rows of each share, whatever n is.
     """
-    in_order = Window.partitionBy(label).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= n)
+    return ranked(df.withColumn("_share", F.pmod(F.xxhash64(*order), F.lit(SHARES))), label, n, order).drop("_share")
+
+
+def ranked(df: DataFrame, label: str, n: int, order: Sequence[str | Column]) -> DataFrame:
+    """``rank`` of rows with a ``_share``, up to n in each class."""
+    first = F.row_number().over(Window.partitionBy(label, "_share").orderBy(*order))
+    left = df.withColumn("_first", first).where(F.col("_first") <= n).drop("_first")
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(*order))
+    return left.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
 def hash_split(

@@ -9,16 +9,19 @@ Valences are summed as whole multiples of 1e-8, so the result does not depend
 on the order of addition.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewatch.functions import text as tx
 from galewatch.functions import wordlists
 from galewatch.functions.literals import listed, number, quoted
 from galewatch.operators.sampling import first_per_class
+from galewatch.sources.tables import parameter_table
+
+Lexicon = DataFrame | Iterable[tuple[str, float]]
 
 UNITS = 1e8
 
@@ -59,22 +62,23 @@ def text_hash(text: str) -> Column:
 
 
 def score_texts(
-    df: DataFrame, text: str, lexicon: DataFrame, keys: Sequence[str] = (), rules: Rules = PUBLISHED
+    df: DataFrame, text: str, lexicon: Lexicon, keys: Sequence[str] = (), rules: Rules = PUBLISHED
 ) -> DataFrame:
     """(keys..., text_hash, copies, score, sentiment): each distinct (keys, text) scored once.
 
     ``copies`` is how many rows share them, so counts stay whole when ids or
     texts repeat. Null texts are left out; texts without tokens or lexicon
-    words score 0. ``lexicon`` is (word, valence), lower-case words, each once.
-    It is joined without a hint: broadcast while its size is below Catalyst's
-    threshold, sort-merged beyond it.
+    words score 0. ``lexicon`` is (word, valence), a frame or rows; case doesn't
+    count, and of a repeated word the highest valence does. It is joined without
+    a hint: broadcast while its size is below Catalyst's threshold, sort-merged
+    beyond it. A frame of unknown size (made from a list of rows) counts as large.
     """
     group = [*keys, "text_hash"]
     tokens = tokens_in_context(df, text, keys, rules)
-    entries = lexicon.select("word", F.col("valence").cast("double").alias("valence"))
+    entries = unique_entries(df.sparkSession, lexicon)
     met = tokens.join(entries, "word", "left")
     starts = F.col("pos").isNull() | (F.col("pos") == 0)
-    judged = in_context(met.where(F.col("valence").isNotNull() | starts), keys, rules)
+    judged = in_context(with_known(met.where(F.col("valence").isNotNull() | starts), entries), keys, rules)
     sums = judged.groupBy(*group).agg(
         F.count_if(starts).alias("copies"),
         F.sum(F.coalesce(F.round(F.col("valence") * UNITS).cast("long"), F.lit(0))).alias("units"),
@@ -88,6 +92,28 @@ def score_texts(
     return scored.withColumn("sentiment", sentiment_class(F.col("score"), rules.threshold))
 
 
+def unique_entries(spark: SparkSession, lexicon: Lexicon) -> DataFrame:
+    """(word, valence), each lower-case word once."""
+    if isinstance(lexicon, DataFrame):
+        lowered = lexicon.select(F.lower("word").alias("word"), F.col("valence").cast("double").alias("valence"))
+        return lowered.groupBy("word").agg(F.max("valence").alias("valence"))
+    highest: dict[str, float] = {}
+    for word, valence in lexicon:
+        highest[word.lower()] = max(float(valence), highest.get(word.lower(), float(valence)))
+    return parameter_table(spark, ["word", "valence"], sorted(highest.items()) or [("", None)])
+
+
+def with_known(hits: DataFrame, entries: DataFrame) -> DataFrame:
+    """Adds ``known1`` to ``known3``: whether the word so many places before is itself in the lexicon.
+
+    Only tokens that are in the lexicon get here, so these are small joins.
+    """
+    for back in (1, 2, 3):
+        near = entries.select(F.col("word").alias(f"word{back}"), F.lit(True).alias(f"known{back}"))
+        hits = hits.join(near, F.lower(f"prev{back}") == F.col(f"word{back}"), "left").drop(f"word{back}")
+    return hits.withColumns({f"known{back}": F.coalesce(f"known{back}", F.lit(False)) for back in (1, 2, 3)})
+
+
 def sentiment_class(score: Column, threshold: float = PUBLISHED.threshold) -> Column:
     """positive, negative or neutral; a score at a threshold is polar."""
     return F.when(score >= threshold, "positive").when(score <= -threshold, "negative").otherwise("neutral")
@@ -104,14 +130,16 @@ def sentiment_samples(
 ) -> DataFrame:
     """(keys..., text, sentiment, score, rank): the first n rows of each class in key order.
 
-    Texts stay out of the scoring exchange; the few chosen rows (n per class,
-    so at most 3n) are broadcast to the table to fetch theirs.
+    Texts stay out of the scoring exchange. The few chosen rows (n per class)
+    fetch theirs by key; only texts whose keys match are hashed, to tell apart
+    rows that share their keys.
     """
     order = [*keys, "text_hash"]
     chosen = first_per_class(scored, "sentiment", n, *order).select(*order, "score", "sentiment")
-    rows = df.select(*keys, F.col(text).alias("text"), text_hash(text).alias("text_hash"))
-    same = [rows[name].eqNullSafe(chosen[name]) for name in order]
-    found = rows.join(F.broadcast(chosen), same).select(*[rows[name] for name in order], "text", "sentiment", "score")
+    rows = df.select(*keys, F.col(text).alias("text"))
+    same = [rows[name].eqNullSafe(chosen[name]) for name in keys]
+    same.append(text_hash("text") == chosen["text_hash"])
+    found = rows.join(chosen, same).select(*[rows[name] for name in keys], "text_hash", "text", "sentiment", "score")
     return first_per_class(found, "sentiment", n, *order).drop("text_hash")
 
 
@@ -165,7 +193,9 @@ def emphasis(text: Column, rules: Rules = PUBLISHED) -> Column:
 def in_context(met: DataFrame, keys: Sequence[str], rules: Rules = PUBLISHED) -> DataFrame:
     """(keys..., text_hash, emphasis, pos, valence): the lexicon valence as its text's rules change it.
 
-    Each column below builds on those above it. Tokens without lexicon entry,
+    A word before the token acts on it (as booster, negation, part of an idiom or
+    of a dampening phrase) only if it is not in the lexicon itself; for idioms
+    and phrases that is asked of the third word before. Each column below builds on those above it. Tokens without lexicon entry,
     booster words and the "kind" of "kind of" have null throughout. What the
     neighbours are is said in columns of their own: repeated inside the steps
     it would make the generated code too long for the JVM to compile. The
@@ -210,7 +240,8 @@ def boosted(back: int, rules: Rules) -> str:
     signed = f"case when {before} < 0 then -boost{back} else boost{back} end"
     loud = f"case when {shouted(f'prev{back}')} then {away(before, rules.shout)} else 0D end"
     damped = f"({signed} + {loud}) * {number(rules.damping[back - 1])}"
-    return f"({before} + case when boost{back} <> 0 then {damped} else 0D end) * factor{back}"
+    changed = f"({before} + case when boost{back} <> 0 then {damped} else 0D end) * factor{back}"
+    return f"case when known{back} then {before} else {changed} end"
 
 
 def reversal(back: int, rules: Rules) -> str:
@@ -249,14 +280,14 @@ def phrased(valence: str, rules: Rules) -> str:
         known = f"coalesce(get(filter({found}, value -> value is not null), 0), {valence})"
     dampening = listed(rules.dampening_phrases)
     dampened = f"concat_ws(' ', prev3, prev2) in {dampening} or concat_ws(' ', prev2, prev1) in {dampening}"
-    return f"""case when {valence} is null or prev3 is null then {valence}
+    return f"""case when {valence} is null or prev3 is null or known3 then {valence}
                     else {known} + case when {dampened} then {number(-rules.boost)} else 0D end end"""
 
 
 def least_factor(rules: Rules) -> str:
     """Factor for "least" directly before, unless it is "at least" or "very least"."""
     softened = "coalesce(low2 in ('at', 'very'), false)"
-    return f"case when low1 = 'least' and not {softened} then {number(rules.negate)} else 1D end"
+    return f"case when low1 = 'least' and not known1 and not {softened} then {number(rules.negate)} else 1D end"
 
 
 def contrast_factor(rules: Rules) -> str:

@@ -6,11 +6,12 @@ counts, never single words.
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galewatch.functions.literals import listed
 from galewatch.functions.text import lower_words
+from galewatch.operators import sampling
 
 TOP_WORDS = 20
 TOP_TAGS = 15
@@ -47,12 +48,12 @@ def top_words_by(
 ) -> DataFrame:
     """(label, word, count, rank) of the k most frequent words of every label, in one job.
 
-    The rank filter runs before the exchange as well (a window group limit), so
-    a label's task gets k rows from each upstream task, not the label's words.
+    A label's words are ranked in shares first, by word, so a label's task gets
+    k words of each share, not all of the label's words.
     """
     counts = words(df, text, stop_words, carry=[label]).groupBy(label, "word").count()
-    by_count = Window.partitionBy(label).orderBy(F.col("count").desc(), "word")
-    return counts.withColumn("rank", F.row_number().over(by_count)).where(F.col("rank") <= k)
+    shared = counts.withColumn("_share", F.pmod(F.xxhash64("word"), F.lit(sampling.SHARES)))
+    return sampling.ranked(shared, label, k, [F.col("count").desc(), "word"]).drop("_share")
 
 
 def top_tags(df: DataFrame, tags: str, k: int = TOP_TAGS) -> DataFrame:

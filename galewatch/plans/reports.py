@@ -2,12 +2,14 @@
 
 ``messages`` is the flat table of :func:`galewatch.sources.messages.read_messages`,
 ``labels`` that of ``read_labels``, ``labelled`` their ``join_labels``. Each
-function returns lazy frames; only the classifiers train when called.
+function returns frames; the classifiers train when called, the encoding fits the
+label's index, and a track looks up the quantiles of its order.
 """
 
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,22 +129,29 @@ def messages_per_state(labelled: DataFrame, states: Sequence[str] = STATES) -> D
     return counting.state_counts(labelled, "tweet_place", states)
 
 
-def message_sentiment(messages: DataFrame, lexicon: DataFrame, keys: Sequence[str] = ("tweet_id",), n: int = 5) -> Sentiment:
+def message_sentiment(
+    messages: DataFrame,
+    lexicon: sentiment.Lexicon,
+    keys: Sequence[str] = ("tweet_id",),
+    n: int = 5,
+    rules: sentiment.Rules = sentiment.PUBLISHED,
+) -> Sentiment:
     """(scored, counts, samples) of all messages with a text."""
-    scored = sentiment.score_texts(messages, "text", lexicon, keys)
+    scored = sentiment.score_texts(messages, "text", lexicon, keys, rules)
     samples = sentiment.sentiment_samples(messages, scored, "text", keys, n)
     return Sentiment(scored, sentiment.sentiment_counts(scored), samples)
 
 
 def state_sentiment(
     labelled: DataFrame,
-    lexicon: DataFrame,
+    lexicon: sentiment.Lexicon,
     states: Sequence[str] = STATES,
     keys: Sequence[str] = ("tweet_id",),
     n: int = 5,
+    rules: sentiment.Rules = sentiment.PUBLISHED,
 ) -> Sentiment:
     """Sentiment of the labelled messages placed in the states; the state need not begin with a blank here."""
-    return message_sentiment(counting.at_states(labelled, "tweet_place", states), lexicon, keys, n)
+    return message_sentiment(counting.at_states(labelled, "tweet_place", states), lexicon, keys, n, rules)
 
 
 def encode(labelled: DataFrame) -> encoding.Encoded:
@@ -168,17 +177,25 @@ def feature_correlation(labelled: DataFrame) -> Correlation:
     )
 
 
+def trained(labelled: DataFrame, classifier, features: Sequence[str]) -> classify.Classification:
+    """Index and training read the few columns they need from one pass over the join."""
+    needed = labelled.select("tweet_id", "AIDRLabel", "AIDRConfidence", "user_followers", "user_verified")
+    needed = needed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return classify.classify(encode(needed), classifier, "tweet_id", "AIDRLabel", features)
+    finally:
+        needed.unpersist()
+
+
 def classify_random_forest(
     labelled: DataFrame, features: Sequence[str] = FEATURES, trees: int = classify.TREES
 ) -> classify.Classification:
     """Random forest on the label. The label's own index is no feature unless ``features`` names it."""
-    forest = classify.random_forest("AIDRLabel_index", trees)
-    return classify.classify(encode(labelled), forest, "tweet_id", "AIDRLabel", features)
+    return trained(labelled, classify.random_forest("AIDRLabel_index", trees), features)
 
 
 def classify_logistic_regression(
     labelled: DataFrame, features: Sequence[str] = FEATURES
 ) -> classify.Classification:
     """Logistic regression on the label, same rows and features."""
-    regression = classify.logistic_regression("AIDRLabel_index")
-    return classify.classify(encode(labelled), regression, "tweet_id", "AIDRLabel", features)
+    return trained(labelled, classify.logistic_regression("AIDRLabel_index"), features)

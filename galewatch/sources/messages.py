@@ -18,7 +18,13 @@ class MessageScan(NamedTuple):
 
 
 def scan_messages(spark: SparkSession, *directories: str) -> MessageScan:
-    """Read every ``*.json`` of all directories in one scan under one schema.
+    """Read every ``*.json`` of all directories in one scan under one schema."""
+    lines = spark.read.option("pathGlobFilter", "*.json").text(list(directories))
+    return parse_messages(lines.select("value", F.col("_metadata.file_path").alias("file")))
+
+
+def parse_messages(lines: DataFrame) -> MessageScan:
+    """Records of JSON lines (columns ``value``, ``file``); blank lines are none.
 
     A record is malformed when it is no JSON object or any field has another
     type. Each line is parsed as a whole for that, whatever columns a query
@@ -31,11 +37,8 @@ def scan_messages(spark: SparkSession, *directories: str) -> MessageScan:
     """
     schema = T.StructType([*schemas.RAW_MESSAGE.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
-    lines = spark.read.option("pathGlobFilter", "*.json").text(list(directories)).where(F.col("value").rlike(r"\S"))
-    records = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.inline(F.array(F.from_json("value", schema, options))),
-    )
+    parsed = F.inline(F.array(F.from_json("value", schema, options)))
+    records = lines.where(F.col("value").rlike(r"\S")).select("file", parsed)
     corrupt = F.col(schemas.CORRUPT)
     return MessageScan(
         messages=records.where(corrupt.isNull()).drop("file", schemas.CORRUPT),
@@ -65,7 +68,7 @@ def flatten(raw: DataFrame) -> DataFrame:
 
 
 def read_messages(spark: SparkSession, *directories: str) -> DataFrame:
-    """Flat message table of the well-formed records."""
+    """Flat message table of the well-formed records; :func:`scan_messages` has the others as well."""
     return flatten(scan_messages(spark, *directories).messages)
 
 
@@ -82,6 +85,16 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
         .option("enforceSchema", False)
         .csv(path)
     )
+    return label_columns(raw)
+
+
+def parse_labels(lines: DataFrame) -> DataFrame:
+    """The same table from tab-separated lines (column ``value``) without a header; empty fields are null."""
+    row = F.from_csv("value", schemas.RAW_LABEL.simpleString()[len("struct<") : -1].replace(":", " "), {"sep": "\t"})
+    return label_columns(lines.select(F.inline(F.array(row))))
+
+
+def label_columns(raw: DataFrame) -> DataFrame:
     return raw.withColumnRenamed("TweetID", "tweet_id").drop("Date")
 
 

@@ -6,18 +6,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """Parquet scan. ``spread`` is for scans that feed per-word work.
-
-    A file with one row group is read by one task however many cores there
-    are, so a scan with fewer splits than cores is dealt out over all of them.
-    A large table has more splits than cores and is left as it is: no shuffle.
-    """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores)
-    return table
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def parameter_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:

@@ -57,6 +57,8 @@ def valence_at(tokens, i, lexicon, emphatic):
         if i < back:
             break
         prev = tokens[i - back]
+        if prev.lower() in lexicon:
+            continue
         if prev.lower() in BOOSTS:
             change = BOOSTS[prev.lower()] * (-1 if v < 0 else 1)
             if emphatic and prev.isupper():
@@ -69,9 +71,9 @@ def valence_at(tokens, i, lexicon, emphatic):
             v *= 1.25
         elif negated(prev):
             v *= -0.74
-    if i >= 3:
+    if i >= 3 and tokens[i - 3].lower() not in lexicon:
         v = idiom_at(tokens, i, v)
-    if i >= 1 and tokens[i - 1].lower() == "least" and (i < 2 or tokens[i - 2].lower() not in ("at", "very")):
+    if i >= 1 and tokens[i - 1].lower() == "least" and "least" not in lexicon and (i < 2 or tokens[i - 2].lower() not in ("at", "very")):
         v *= -0.74
     return v
 

@@ -31,17 +31,5 @@ def test_same_in_another_time_zone(spark, tables, key):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_only_the_trained_classifiers_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"classify_rf", "classify_lr"}
-    assert set(ORACLES) <= set(QUERIES)
-
-
-@pytest.mark.parametrize("key", ["classify_rf", "classify_lr"])
-def test_classifiers_give_rows(spark, key):
-    rows = QUERIES[key](spark, DIRECTORY).collect()
-    assert rows
-    for row in rows:
-        assert 0 <= row.precision <= 1 and 0 <= row.recall <= 1 and 0 <= row.f1 <= 1
-    assert rows[0].test_accuracy == pytest.approx(
-        sum(row.recall * row.support for row in rows) / sum(row.support for row in rows)
-    )
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)

@@ -79,13 +79,6 @@ def test_landed_table_reads_back(spark, flat, tmp_path):
     assert "ReadSchema: struct<hashtags:array<string>>" in plan_of(pruned)
 
 
-def test_spread_deals_out_small_scans_only(spark, flat, tmp_path):
-    path = str(tmp_path / "flat")
-    land(flat.repartition(2), path)
-    assert read_table(spark, path, spread=True).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert "Exchange" not in plan_of(read_table(spark, path))
-
-
 def test_parameter_table_has_known_size(spark):
     assert "LocalTableScan" in plan_of(parameter_table(spark, ["word", "valence"], [("good", 1.9)]))
 
