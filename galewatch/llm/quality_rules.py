@@ -100,7 +100,8 @@ def measured(documents: DataFrame) -> DataFrame:
         thousandths(c["n_repeat_words"], c["n_words"]).alias("repeats"),
         ((c["n_words"] < LEAST_WORDS) | (100 * c["n_repeat_words"] > MOST_REPEATED * c["n_words"])).alias("base_failed"),
     )
-    return out.withColumn("_measures", measures).drop("_words", "_windows", "_sorted", "_repeated", "_lines", "_counts")
+    # Out of an array, so that a filter on measures isn't pushed below and doesn't repeat what they are made of.
+    return out.select(*documents.columns, F.explode(F.array(measures)).alias("_measures"))
 
 
 def binomial_tail(n: Column, k: Column, rate: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from galewatch.llm import decontaminate, line_dedup, simhash
 from galewatch.llm.graph import components
+from galewatch.llm.shared import landed
 from tests.llm import brute
 
 
@@ -25,16 +26,17 @@ def fingerprint_sets():
     ball = [wide[0] ^ (1 << i) ^ (1 << j) for i in range(0, 64, 3) for j in range(0, 64, 5)]
     edge = [0, 1, 3, 7, (1 << 64) - 1, (1 << 64) - 2, 1 << 63, (1 << 63) | 1, 0xF, 0xFF, 0xF0F]
     chain = [wide[9] ^ ((1 << i) - 1) for i in range(40)]
-    return {"wide": wide, "near": wide + near, "ball": ball, "edge": edge, "chain": chain, "all": wide + near + ball + edge + chain}
+    return {"ball": ball, "all": wide + near + ball + edge + chain}
 
 
-@pytest.mark.parametrize("name", ["wide", "near", "ball", "edge", "chain", "all"])
+@pytest.mark.parametrize("name", ["ball", "all"])
 def test_links_connect_what_is_close(spark, name):
     fps = sorted(set(fingerprint_sets()[name]))
     frame = spark.createDataFrame([(signed(f),) for f in fps], "fp bigint")
-    edges = [(r.u, r.v) for r in simhash.links(frame).collect()]
+    links = landed(simhash.links(frame), "links")
+    edges = [(r.u, r.v) for r in links.collect()]
     assert all(((u ^ v) & ((1 << 64) - 1)).bit_count() <= 2 for u, v in edges)
-    root = {r.node: r.root for r in components(simhash.links(frame)).collect()}
+    root = {r.node: r.root for r in components(links).collect()}
     want = brute.groups(fps)
     mine = {f: root.get(signed(f), signed(f)) for f in fps}
     classes = lambda of: sorted(sorted(f for f in fps if of[f] == c) for c in set(of.values()))
@@ -120,7 +122,7 @@ def passages_rows():
     ]
 
 
-@pytest.mark.parametrize("items", [ITEMS, ITEMS[:1], [(1, None)], []])
+@pytest.mark.parametrize("items", [ITEMS, []])
 def test_decontaminated(spark, documents, items):
     rows = passages_rows()
     benchmark = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "'clash' as words", "1 as start")
