@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 
 from galewatch.llm.shared import landed
 
-SAMPLE = 8_000  # ratings that the model is fitted to, the first by hash
+SAMPLE = 16_000  # ratings that the model is fitted to, the first by hash
 BUCKETS = 1 << 18
 LEAST_SEEN = 4  # sampled documents that must hold a feature
-EPOCHS, BATCH, SEED = 8, 128, 11
+LEAST_TELLING = 4.0  # standard deviations by which a feature must be off its share of lower or higher grades
+EPOCHS, BATCH, SEED = 12, 128, 11
 RATE, SHRINK = 0.15, 2e-5
 MOST_KEPT = 300_000  # words that a Python worker remembers
 EDGES = ".,;:!?\"'()[]{}"
@@ -83,14 +84,33 @@ def summed(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
+def telling(rows: list[np.ndarray], grades: np.ndarray, top: int) -> np.ndarray:
+    """Features that enough rows hold, and that stand with the grades below or above some threshold more than by chance.
+
+    The many words that say nothing would drown the few that do.
+    """
+    keep = np.zeros(BUCKETS, bool)
+    if not rows:
+        return keep
+    held = np.bincount(np.concatenate(rows), minlength=BUCKETS)
+    for k in range(1, top + 1):
+        low = np.flatnonzero(grades < k)
+        share = len(low) / len(grades)
+        if 0 < share < 1:
+            found = np.bincount(np.concatenate([rows[i] for i in low]), minlength=BUCKETS)
+            off = np.abs(found - held * share) / np.sqrt(np.maximum(held * share * (1 - share), 1e-9))
+            keep |= off >= LEAST_TELLING
+    return keep & (held >= LEAST_SEEN)
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Model:
-    """By Adagrad on the log likelihood; features that few rows hold keep weight zero."""
+    """By Adagrad on the log likelihood; features that tell nothing keep weight zero."""
     random = np.random.default_rng(SEED)
     weights, seen = np.zeros(BUCKETS), np.full(BUCKETS, 1e-2)
     share = np.array([(np.count_nonzero(grades >= k) + 1) / (len(grades) + 2) for k in range(1, top + 1)])
     thresholds = np.log((1 - share) / share)
-    often = np.bincount(np.concatenate(rows), minlength=BUCKETS) >= LEAST_SEEN if rows else np.zeros(BUCKETS, bool)
-    rows = [row[often[row]] for row in rows]
+    keep = telling(rows, grades, top)
+    rows = [row[keep[row]] for row in rows]
     for _ in range(EPOCHS):
         for some in np.array_split(random.permutation(len(rows)), max(1, -(-len(rows) // BATCH))):
             if not len(some):

@@ -38,9 +38,11 @@ def test_binomial_tail(spark, n, k, rate):
     assert row.p == pytest.approx(sum(map(math.exp, terms)), rel=1e-8)
 
 
+PLAIN, MARKED = (" ".join(f"word{i}{marks}" for i in range(40)) for marks in ("", "!?!?"))
+
+
 def labelled(spark, documents, good, bad, lang="en"):
-    plain = " ".join(f"word{i}" for i in range(40))
-    rows = [(i, plain, lang, "s") for i in range(good)] + [(good + i, plain + " !?" * 20, lang, "s") for i in range(bad)]
+    rows = [(i, PLAIN, lang, "s") for i in range(good)] + [(good + i, MARKED, lang, "s") for i in range(bad)]
     labels = [(i, 1, 0) for i in range(good)] + [(good + i, 0, 0) for i in range(bad)]
     return documents(rows, "quality"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
 
@@ -59,7 +61,7 @@ def test_few_labels_certify_none(spark, documents):
 
 def test_strata_are_for_themselves_and_null_is_one(spark, documents):
     frame, labels = labelled(spark, documents, 3500, 300, lang=None)
-    other = documents([(9_000 + i, " ".join(f"word{j}" for j in range(40)) + " !?" * 20, "xx", "s") for i in range(10)], "quality")
+    other = documents([(9_000 + i, MARKED, "xx", "s") for i in range(10)], "quality")
     kept = quality_rules.without_rejected(frame.unionByName(other), labels)
     assert kept.where("lang is null").count() == 3500 and kept.where("lang = 'xx'").count() == 10
 
