@@ -36,31 +36,39 @@ BLOCK_IDS = 1 << 16  # ids after which a block is closed
 MOST_KEPT = 600_000  # pieces that a Python worker remembers
 
 
+def alphabet() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it is visible, else the next from 256."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in seen)}
+
+
 class LibraryEncoder:
-    """The tokenizers library, asked once for each piece that a text is cut into."""
+    """The tokenizers library's model, asked once for each piece that a text is cut into."""
 
     def __init__(self, definition: str, pattern: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pattern = regex.compile(pattern)
+        self.written, self.pattern = alphabet(), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
 
+    def learn(self, some: set[str]) -> None:
+        model, written = self.tokenizer.model, self.written
+        for piece in some:
+            ids = [token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(written))]
+            self.known[piece] = pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian 32-bit numbers."""
         for block in blocks(texts):
-            parts = list(pieces(texts[block], self.pattern))
             if len(self.known) > MOST_KEPT:
                 self.known.clear()
-            fresh = list({p for part in parts for p in part if p not in self.known})
-            for some in range(0, len(fresh), 10_000):
-                asked = fresh[some : some + 10_000]
-                for piece, found in zip(asked, self.tokenizer.encode_batch(asked, add_special_tokens=False), strict=True):
-                    ids = found.ids
-                    self.known[piece] = pack(f"<{len(ids)}I", *ids)
-            for part in parts:
-                yield b"".join(map(self.known.__getitem__, part))
+            for part in list(pieces(texts[block], self.pattern)):
+                found = list(map(self.known.get, part))
+                if None in found:
+                    self.learn({piece for piece, ids in zip(part, found, strict=True) if ids is None})
+                    found = map(self.known.__getitem__, part)
+                yield b"".join(found)
 
 
 encoders: dict[int, LibraryEncoder] = {}
