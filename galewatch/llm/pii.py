@@ -22,6 +22,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ from galewatch.llm.pieces import blocks
 from galewatch.llm.pii_rules import KINDS, base_spans, digits_of, in_order, luhn, small_parts
 
 SAMPLE = 3_000  # documents that the model is trained on, the first by hash
+PASSAGE = 600  # characters of a sampled document that the driver gets
+DRAWS = 1 << 40
 WINDOW, OVERLAP = 1024, 64  # characters; the overlap exceeds the longest span that is looked for
 LANES = 2048  # windows read together
 TRAINED = 96  # characters of a training window
@@ -113,9 +116,14 @@ def labelled(texts: list[str], seed: int = SEED) -> tuple[np.ndarray, np.ndarray
 
 
 def fitted(documents: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
-    """The model of a corpus. Of each sampled document the driver gets a passage of bounded length."""
-    order = F.xxhash64(F.col("doc_id"), F.lit(SEED))
-    some = documents.select("doc_id", "text").where("text is not null").orderBy(order, "doc_id", F.xxhash64("text")).limit(sample)
+    """The model of a corpus. Of each sampled document the driver gets a passage of bounded length.
+
+    Documents are taken by the hash of id and text: about twice as many as
+    wanted, of which the first by hash remain.
+    """
+    drawn = documents.where("text is not null").select(F.xxhash64("doc_id", "text", F.lit(SEED)).alias("drawn"), "text")
+    share = min(1.0, 2 * sample / max(documents.count(), 1))
+    some = drawn.where(F.pmod("drawn", F.lit(DRAWS)) < int(share * DRAWS))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,10 +131,11 @@ def fitted(documents: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
             for text in batch.column("text").to_pylist():
                 found = base_spans(text)
                 start = max(0, found[0][1] - 200) if found else 0
-                out.append(text[start : start + 600])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
+                out.append(text[start : start + PASSAGE])
+            yield pa.RecordBatch.from_arrays([batch.column("drawn"), pa.array(out, pa.string())], ["drawn", "text"])
 
-    texts = sorted(row.text for row in some.mapInArrow(passages, "text string").collect())
+    first = some.mapInArrow(passages, "drawn bigint, text string").orderBy("drawn", "text").limit(sample)
+    texts = [row.text for row in first.collect()]
     codes, tags = labelled(texts)
     return pii_model.train(codes, tags, STEPS, BATCH, SEED)
 
@@ -145,7 +154,7 @@ def windows_of(length: int) -> list[tuple[int, int]]:
 def window_spans(weights: dict[str, np.ndarray], texts: list[str]) -> list[list[tuple[float, int, int, int]]]:
     """For each text the spans that its windows decode to, as (score, start, end, tag)."""
     found: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
-    codes = pii_model.codes_of("".join(texts))
+    codes = np.append(pii_model.codes_of("".join(texts)), np.zeros(WINDOW, np.uint8))
     firsts = np.cumsum([0, *map(len, texts)])
     lanes = [(b - a, i, a, b) for i, text in enumerate(texts) for a, b in windows_of(len(text))]
     lanes.sort(key=lambda lane: lane[0])  # windows of about one length together
@@ -154,9 +163,9 @@ def window_spans(weights: dict[str, np.ndarray], texts: list[str]) -> list[list[
         longest = own[-1][0]
         at = np.array([firsts[i] + a for _, i, a, _ in own])
         sizes = np.array([size for size, *_ in own])
-        steps = np.arange(longest)[:, None]
-        block = codes[np.minimum(at + steps, len(codes) - 1)]
-        block[steps >= sizes] = 0
+        block = np.ascontiguousarray(sliding_window_view(codes, longest)[at].T)
+        if sizes[0] < longest:
+            block[np.arange(longest)[:, None] >= sizes] = 0
         scores = pii_model.emissions(weights, block)
         hope = np.flatnonzero(~pii_model.hopeless(scores, weights["moves"]))
         if not len(hope):
