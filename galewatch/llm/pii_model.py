@@ -68,21 +68,28 @@ def start_table(weights: dict[str, np.ndarray], way: str) -> np.ndarray:
 
 
 def emissions(weights: dict[str, np.ndarray], codes: np.ndarray) -> np.ndarray:
-    """(position, tag, window) scores; ``codes``: (position, window)."""
+    """(position, tag, window) scores; ``codes``: (position, window). As ``step``, without new arrays on the way."""
     length, width = codes.shape
     out = np.empty((length, TAGS, width), np.float32)
     gates, again = np.empty((4 * HIDDEN, width), np.float32), np.empty((4 * HIDDEN, width), np.float32)
+    new, read_out = np.empty((HIDDEN, width), np.float32), np.empty((TAGS, width), np.float32)
+    soft, candidate = gates[:H3], gates[H3:]
+    enter, forget, leave = gates[:H1], gates[H1:H2], gates[H2:H3]
     for way in "fb":
         table, recur, read = start_table(weights, way), weights[f"h{way}"], weights[f"o{way}"]
         cell, hidden = np.zeros((HIDDEN, width), np.float32), np.zeros((HIDDEN, width), np.float32)
         for t in range(length) if way == "f" else range(length - 1, -1, -1):
             np.take(table, codes[t], axis=1, out=gates, mode="clip")
-            gates += np.dot(recur, hidden, out=again)
-            cell, hidden = step(gates, cell)
+            np.add(gates, np.dot(recur, hidden, out=again), out=gates)
+            np.clip(soft, 0, 1, out=soft)
+            np.clip(candidate, -1, 1, out=candidate)
+            np.multiply(cell, forget, out=cell)
+            np.add(cell, np.multiply(enter, candidate, out=new), out=cell)
+            np.multiply(leave, np.clip(cell, -1, 1, out=new), out=hidden)
             if way == "f":
                 np.dot(read, hidden, out=out[t])
             else:
-                out[t] += read @ hidden
+                np.add(out[t], np.dot(read, hidden, out=read_out), out=out[t])
     out += weights["bias"]
     return out
 
@@ -92,10 +99,17 @@ def best_paths(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
     length, tags, width = scores.shape
     back = np.empty((length, tags, width), np.uint8)
     total = scores[0]
+    best, way = np.empty_like(total), np.empty_like(total)
     for t in range(1, length):
-        ways = total[:, None, :] + moves[:, :, None]
-        back[t] = ways.argmax(0)
-        total = ways.max(0) + scores[t]
+        # The first of equal ways wins, as it would with argmax.
+        for to in range(tags):
+            np.add(total[0], moves[0, to], out=best[to])
+        back[t] = 0
+        for start in range(1, tags):
+            np.add(total[start], moves[start][:, None], out=way)
+            np.putmask(back[t], way > best, start)
+            np.maximum(best, way, out=best)
+        total = best + scores[t]
     path = np.empty((length, width), np.uint8)
     path[-1] = total.argmax(0)
     every = np.arange(width)
