@@ -35,7 +35,8 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galewatch.llm.shared import landed
@@ -53,6 +54,7 @@ class Limits:
     block: int = 4_000_000  # bytes of text
     crowd: int = 40  # texts of a block with the same place; beyond, the place is left
     most_runs: int = 5_000  # runs with the same place, over the corpus; beyond, it is left
+    task: int = 64_000_000  # bytes of text whose runs one task compares
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
@@ -66,11 +68,11 @@ def words_at(data: np.ndarray) -> np.ndarray:
 
 
 def place_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the 16 bytes from each place."""
+    """Hash of the PLACE bytes (8 to 16) from each place."""
     at = words_at(np.concatenate((data, np.zeros(8, np.uint8))))
     out = at[: len(data)] * np.uint64(0x9E3779B97F4A7C15)
     out ^= out >> np.uint64(29)
-    out += at[8 : len(data) + 8]
+    out += at[PLACE - 8 : len(data) + PLACE - 8]
     for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
         out *= np.uint64(factor)
         out ^= out >> np.uint64(31)
@@ -116,67 +118,157 @@ def byte_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
             yield batch.slice(start)
 
 
-PLACED = "route bigint, place bigint, t1 bigint, run bigint, crowded boolean"
+# A block's runs for a bucket of places travel as one row. Kinds: runs; runs of crowded places; crowded places alone.
+PLACED = "bucket int, kind int, n int, packed binary"
+RUNS, CROWDED, TOLD = range(3)
 
 
-def placed(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
-    """A row for each run. ``run``: 64 * first window + number of windows; -1 for a row that only tells of a crowd."""
+def packed(kind: int, bucket: int, place: np.ndarray, t1: np.ndarray, at: np.ndarray, count: np.ndarray) -> tuple:
+    columns = (place.astype("<u8"), t1.astype("<i8"), at.astype("<u4"), count.astype("u1"))
+    return bucket, kind, len(place), zstandard.compress(b"".join(c.tobytes() for c in columns), 1)
+
+
+def unpacked(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.decompress(data)
+    ends = np.cumsum([0, 8 * n, 8 * n, 4 * n, n])
+    kinds = ("<u8", "<i8", "<u4", "u1")
+    return tuple(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], kinds, strict=False))
+
+
+def placed(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> Iterator[pa.RecordBatch]:
+    """All runs, by bucket of their place."""
     for block in byte_blocks(batches, limits.block):
-        owner, at, counts, place = runs(block.column("text").to_pylist())
+        owner, at, count, place = runs(block.column("text").to_pylist())
         if not len(owner):
             continue
         t1 = np.asarray(block.column("t1"))[owner]
         order = np.lexsort((t1, place))
         p, t = place[order], t1[order]
         first = np.concatenate(([True], p[1:] != p[:-1]))
-        other = np.concatenate(([True], first[1:] | (t[1:] != t[:-1])))
-        group = np.cumsum(first) - 1
-        crowded = (np.bincount(group, weights=other) > limits.crowd)[group]
-        # A crowd is known to repeat: its runs may go anywhere, and one row tells the others of the place.
-        route = np.where(crowded, p ^ (t.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), p)
-        tell = first & crowded
-        run = (64 * at + counts)[order]
-        columns = [
-            np.concatenate((route, p[tell])).view(np.int64),
-            np.concatenate((p, p[tell])).view(np.int64),
-            np.concatenate((t, t[tell])),
-            np.concatenate((run, np.full(int(tell.sum()), -1))),
-            np.concatenate((crowded, np.ones(int(tell.sum()), bool))),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["route", "place", "t1", "run", "crowded"])
-
-
-SENT = "route bigint, part binary, t1 bigint, t2 bigint, owner bigint, at bigint, settled boolean"
-
-
-def sent(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
-    """The bytes of the runs that may repeat, to the task of their place; of equal ones of a block the least owner's.
-
-    The others are settled: an owner with a smaller id holds all of their windows.
+        other = first | np.concatenate(([True], t[1:] != t[:-1]))
+        many = (np.bincount(np.cumsum(first) - 1, weights=other) > limits.crowd)[np.cumsum(first) - 1]
+        crowded = np.zeros(len(place), bool)
+        crowded[order] = many
+        told = p[first & many]
+        bucket = (place % np.uint64(buckets)).astype(np.int64)
+        rows = []
+        # A crowd is known to repeat: its runs stay together, and the others of the place are told.
+        if len(told):
+            rows.append(packed(CROWDED, int(bucket[order[many]][0]), *(c[crowded] for c in (place, t1, at, count))))
+            for b in np.unique(told % np.uint64(buckets)).tolist():
+                own = told[told % np.uint64(buckets) == b]
+                rows.append(packed(TOLD, int(b), own, *(np.zeros(len(own), np.int64),) * 3))
+        rest = np.flatnonzero(~crowded)
+        rest = rest[np.argsort(bucket[rest], kind="stable")]
+        for own in np.split(rest, np.flatnonzero(np.diff(bucket[rest])) + 1):
+            if len(own):
+                rows.append(packed(RUNS, int(bucket[own[0]]), place[own], t1[own], at[own], count[own]))
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "n", "packed"])
+
+
+REPEATING = "t1 bigint, n int, packed binary"
+
+
+def shared(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
+    """Of each text the runs whose place some other text has, from whole buckets. Places that are left have count + 64."""
+    parts, told, known = [], [], []
+    for batch in batches:
+        for kind, n, data in zip(*(batch.column(name).to_pylist() for name in ("kind", "n", "packed")), strict=True):
+            columns = unpacked(n, data)
+            told.append(columns[0]) if kind == TOLD else (known if kind == CROWDED else parts).append(columns)
+    found = [(p, t, at, count + np.uint8(64)) for p, t, at, count in known]
+    if parts:
+        place, t1, at, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+        del parts
+        order = np.lexsort((t1, place))
+        p, t = place[order], t1[order]
+        first = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
+        sizes = np.diff(np.append(first, len(p)))
+        more = t[first] != t[first + sizes - 1]
+        left = sizes > limits.most_runs
+        if told:
+            left |= np.isin(p[first], np.concatenate(told))
+        keep = np.repeat(more | left, sizes)
+        own = order[keep]
+        found.append((place[own], t1[own], at[own], count[own] + 64 * np.repeat(left, sizes)[keep].astype(np.uint8)))
+    if not any(len(columns[0]) for columns in found):
+        return
+    place, t1, at, count = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.lexsort((at, t1))
+    place, t1, at, count = place[order], t1[order], at[order], count[order]
+    new = np.concatenate(([True], (t1[1:] != t1[:-1]) | (at[1:] != at[:-1])))  # copies of a text have the same runs
+    place, t1, at, count = place[new], t1[new], at[new], count[new]
+    rows = []
+    for own in np.split(np.arange(len(t1)), np.flatnonzero(np.diff(t1)) + 1):
+        if len(own):
+            data = place[own].tobytes() + at[own].astype("<u4").tobytes() + count[own].tobytes()
+            rows.append((int(t1[own[0]]), len(own), data))
+    kinds = (pa.int64(), pa.int32(), pa.binary())
+    for some in range(0, len(rows), 20_000):
+        columns = zip(*rows[some : some + 20_000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["t1", "n", "packed"])
+
+
+def runs_of(repeating: list[dict]) -> Iterator[tuple[int, int, int]]:
+    """Place, first window and count (64 more: the place is left) of a text's runs."""
+    for item in repeating:
+        n, data = item["n"], item["packed"]
+        place = np.frombuffer(data[: 8 * n], "<u8").view("<i8").tolist()
+        at = np.frombuffer(data[8 * n : 12 * n], "<u4").tolist()
+        yield from zip(place, at, data[12 * n :], strict=True)
+
+
+def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts for their way through the exchange."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        small = pa.array([press.compress(t) for t in batch.column("text").to_pylist()], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("text"), "text", small)
+
+
+def unpressed(texts: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor()
+    return [expand.decompress(t) if t else b"" for t in texts.to_pylist()]
+
+
+SENT = "route bigint, part binary, t1 bigint, owner bigint, at bigint, settled bigint"
+
+
+def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the runs that may repeat, to the task of their place; of equal ones of a batch the least owner's.
+
+    The others are settled: an owner with a smaller id holds all of their windows, and all that is sent of them is
+    where they end.
     """
-    for block in byte_blocks(batches, limits.block):
-        own = [block.column(name).to_pylist() for name in ("text", "t1", "t2", "owner", "repeating")]
+    for batch in batches:
         rows = []
-        for text, t1, t2, owner, repeating in zip(*own, strict=True):
-            for item in repeating:
-                place, at, count = item["place"], item["run"] // 64, item["run"] % 64
-                if not item["left"]:
-                    rows.append((place, text[at : at + count + LENGTH - 1], owner, t1, t2, at))
+        texts = unpressed(batch.column("text"))
+        own = [batch.column(name).to_pylist() for name in ("t1", "owner", "repeating")]
+        for text, t1, owner, repeating in zip(texts, *own, strict=True):
+            for place, at, count in runs_of(repeating):
+                if count < 64:
+                    rows.append((place, text[at : at + count + LENGTH - 1], t1, owner, at))
                     continue
-                for i in range(at, at + count):
+                for i in range(at, at + count - 64):
                     window = text[i : i + LENGTH]
-                    rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), window, owner, t1, t2, i))
-        least: dict[tuple[int, bytes], int] = {}
-        for place, part, owner, *_ in rows:
-            if least.get((place, part), owner) >= owner:
-                least[place, part] = owner
-        out, names = [], ["route", "part", "t1", "t2", "owner", "at", "settled"]
-        for place, part, owner, t1, t2, at in rows:
-            if least[place, part] == owner:
-                out.append((place, part, t1, t2, owner, at, False))
-            else:  # the length is all that is needed of it
-                out.append((t1 ^ at, len(part).to_bytes(8, "little"), t1, t2, owner, at, True))
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+                    rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), window, t1, owner, i))
+        least: dict[bytes, int] = {}
+        for _, part, _, owner, _ in rows:
+            if least.get(part, owner) >= owner:
+                least[part] = owner
+        settled: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        out, names = [], ["route", "part", "t1", "owner", "at", "settled"]
+        for row in rows:
+            place, part, t1, owner, at = row
+            if least[part] == owner:
+                out.append((*row, 0))
+            else:
+                settled.setdefault((t1, owner), []).append((at, at + len(part)))
+        for (t1, owner), spans in settled.items():
+            out += [(t1 ^ a, b"", t1, owner, a, b) for a, b in merged(spans)]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         for some in range(0, len(out), 100_000):
             columns = zip(*out[some : some + 100_000], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -203,7 +295,7 @@ def earliest(parts: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
     return [out[end - size : end - LENGTH + 1] for end, size in zip(ends, sizes, strict=True)]
 
 
-COVERED = "t1 bigint, t2 bigint, start bigint, stop bigint"
+COVERED = "t1 bigint, owner bigint, start bigint, stop bigint"
 
 
 def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,33 +310,32 @@ def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in [*(g for g in groups if len(g) > 1), []]:
             size += sum(len(part) for part, _ in group)
             if together and (not group or size >= MOST - 1):
-                owners = np.array([holders[0][2] for _, holders in together], np.int64)
+                owners = np.array([holders[0][1] for _, holders in together], np.int64)
                 found = earliest([part for part, _ in together], owners)
                 low |= {id(holders): own for (_, holders), own in zip(together, found, strict=True)}
                 together, size = [], sum(len(part) for part, _ in group)
             together += group
         for part, holders in (entry for group in groups for entry in group):
-            least = holders[0][2]
-            for t1, t2, owner, at in holders:
+            least = holders[0][1]
+            for t1, owner, at in holders:
                 if owner > least:
-                    out.append((t1, t2, at, at + len(part)))
-                elif (found := low.get(id(holders))) is not None:
-                    edges = np.flatnonzero(np.diff(found < owner, prepend=False, append=False)).tolist()
-                    out.extend((t1, t2, at + a, at + b - 1 + LENGTH) for a, b in zip(edges[::2], edges[1::2], strict=True))
+                    out.append((t1, owner, at, at + len(part)))
+                elif (found := low.get(id(holders))) is not None and (hit := found < owner).any():
+                    edges = np.flatnonzero(np.diff(hit, prepend=False, append=False)).tolist()
+                    out.extend((t1, owner, at + a, at + b - 1 + LENGTH) for a, b in zip(edges[::2], edges[1::2], strict=True))
         groups.clear()
 
     def flushed() -> pa.RecordBatch:
         columns = zip(*out, strict=True)
-        names = ["t1", "t2", "start", "stop"]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["t1", "owner", "start", "stop"])
         out.clear()
         return batch
 
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for key, part, t1, t2, owner, at, settled in zip(*columns, strict=True):
+        for key, part, t1, owner, at, settled in zip(*columns, strict=True):
             if settled:
-                out.append((t1, t2, at, at + int.from_bytes(part, "little")))
+                out.append((t1, owner, at, settled))
                 continue
             if key != route:
                 if held >= MOST // 2:
@@ -256,7 +347,7 @@ def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not group or group[-1][0] != part:
                 group.append((part, []))
                 held += len(part)
-            group[-1][1].append((t1, t2, owner, at))
+            group[-1][1].append((t1, owner, at))
         if len(out) >= 100_000:
             yield flushed()
     work()
@@ -264,10 +355,10 @@ def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flushed()
 
 
-def merged(spans: list[dict]) -> list[tuple[int, int]]:
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of covered bytes."""
     out: list[tuple[int, int]] = []
-    for start, stop in sorted((s["start"], s["stop"]) for s in spans):
+    for start, stop in sorted(spans):
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(stop, out[-1][1]))
         else:
@@ -281,14 +372,14 @@ JUDGED = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string,
 def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        own = [batch.column(name).to_pylist() for name in ("text", "doc_id", "owner", "spans")]
-        for text, doc_id, owner, spans in zip(*own, strict=True):
+        own = [batch.column(name).to_pylist() for name in ("doc_id", "owner", "spans")]
+        for text, doc_id, owner, spans in zip(unpressed(batch.column("text")), *own, strict=True):
             if doc_id is None:
                 gone = []
             elif doc_id != owner:
                 gone = [(0, len(text))] if len(text) >= LENGTH else []
             else:
-                gone = merged(spans or [])
+                gone = merged([(s["start"], s["stop"]) for s in spans or []])
             ends = [0, *(x for span in gone for x in span), len(text)]
             kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
             rows.append((len(text), len(text) - len(kept), len(gone), sha256(kept).hexdigest(), kept))
@@ -308,23 +399,24 @@ def without_repeats(documents: DataFrame, limits: Limits = Limits()) -> DataFram
         F.xxhash64(text).alias("t1"),
         F.xxhash64(F.lit(1), text).alias("t2"),
     )
-    owners = landed(keyed.groupBy("t1", "t2").agg(F.min("doc_id").alias("owner")), "owners")
-    place = Window.partitionBy("route")
-    found = keyed.select("t1", "text").mapInArrow(partial(placed, limits=limits), PLACED)
-    found = found.withColumn("many", F.count(F.lit(1)).over(place) > limits.most_runs).withColumn(
-        "more", F.min("t1").over(place) != F.max("t1").over(place)
-    )
-    found = found.withColumn("left", F.max("crowded").over(place) | F.col("many"))
-    found = found.where((F.col("run") >= 0) & (F.col("left") | F.col("more")))
-    repeating = found.groupBy("t1").agg(F.collect_set(F.struct("place", "run", "left")).alias("repeating"))
-    repeating = landed(repeating, "repeating").join(owners, "t1").withColumnRenamed("owner", "least")
+    owners = keyed.groupBy("t1", "t2").agg(F.min("doc_id").alias("owner"), F.max(F.length("text")).alias("n_bytes"))
+    owners = landed(owners, "owners")
+    # Whole buckets are worked on at once: their number grows with the text.
+    whole = owners.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), whole // limits.task)
+    found = keyed.select("t1", "text").mapInArrow(partial(placed, limits=limits, buckets=4 * tasks), PLACED)
+    found = found.repartition(tasks, "bucket").mapInArrow(partial(shared, limits=limits), REPEATING)
+    repeating = found.groupBy("t1").agg(F.collect_list(F.struct("n", "packed")).alias("repeating"))
+    repeating = landed(repeating, "repeating").join(owners, "t1").select("t1", "t2", F.col("owner").alias("least"), "repeating")
+    kinds = "doc_id bigint, text binary, t1 bigint, t2 bigint"
+    small = keyed.mapInArrow(pressed, kinds)
     # The condition is no join key, so that both joins read one exchange of the texts.
     mine = F.coalesce(F.col("doc_id") == F.col("least"), F.lit(False))
-    texts = keyed.join(repeating, ["t1", "t2"]).where(mine)
-    texts = texts.select("text", "t1", "t2", F.col("doc_id").alias("owner"), "repeating")
-    parts = texts.mapInArrow(partial(sent, limits=limits), SENT).repartition("route").sortWithinPartitions("route", "part", "owner")
-    spans = parts.mapInArrow(covered, COVERED).groupBy("t1", "t2")
+    texts = small.join(repeating, ["t1", "t2"]).where(mine)
+    texts = texts.select("text", "t1", F.col("doc_id").alias("owner"), "repeating")
+    parts = texts.mapInArrow(sent, SENT).repartition("route").sortWithinPartitions("route", "part", "owner")
+    spans = parts.mapInArrow(covered, COVERED).groupBy("t1", "owner")
     spans = spans.agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    known = owners.join(spans, ["t1", "t2"], "left")
-    kind = "doc_id bigint, "
-    return keyed.join(known, ["t1", "t2"], "left").select("doc_id", "text", "owner", "spans").mapInArrow(judged, kind + JUDGED)
+    known = owners.join(spans, ["t1", "owner"], "left").select("t1", "t2", "owner", "spans")
+    judged_rows = small.join(known, ["t1", "t2"], "left").select("doc_id", "text", "owner", "spans")
+    return judged_rows.mapInArrow(judged, "doc_id bigint, " + JUDGED)
