@@ -86,9 +86,11 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded as the library does unless told otherwise: the vocabulary's added tokens are recognised in texts."""
     path = token_files.new_path(spark)
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    token_files.write(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, path)
+    documents = table(spark, sf_dir, "documents")
+    token_files.write(documents, vocabulary, public_tokenizers.PATTERN, path, encode_special_tokens=False)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -43,14 +43,23 @@ def alphabet() -> dict[int, str]:
 
 
 class LibraryEncoder:
-    """The tokenizers library's model, asked once for each piece that a text is cut into."""
+    """The tokenizers library's model, asked once for each piece that a text is cut into.
 
-    def __init__(self, definition: str, pattern: str):
+    A text that holds an added token of the definition goes through the library
+    as a whole, which alone knows where such a token ends a piece.
+    ``encode_special_tokens``: the library's switch of that name; if set, special
+    tokens are cut like other text.
+    """
+
+    def __init__(self, definition: str, pattern: str, encode_special_tokens: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer.encode_special_tokens = encode_special_tokens
         self.written, self.pattern = alphabet(), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if not (token.special and encode_special_tokens)]
 
     def learn(self, some: set[str]) -> None:
         model, written = self.tokenizer.model, self.written
@@ -63,7 +72,11 @@ class LibraryEncoder:
         for block in blocks(texts):
             if len(self.known) > MOST_KEPT:
                 self.known.clear()
-            for part in list(pieces(texts[block], self.pattern)):
+            for text, part in zip(texts[block], list(pieces(texts[block], self.pattern)), strict=True):
+                if any(token in text for token in self.added):
+                    ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                    yield pack(f"<{len(ids)}I", *ids)
+                    continue
                 found = list(map(self.known.get, part))
                 if None in found:
                     self.learn({piece for piece, ids in zip(part, found, strict=True) if ids is None})
@@ -74,12 +87,12 @@ class LibraryEncoder:
 encoders: dict[int, LibraryEncoder] = {}
 
 
-def worker_encoder(definition: str, pattern: str) -> LibraryEncoder:
+def worker_encoder(definition: str, pattern: str, encode_special_tokens: bool) -> LibraryEncoder:
     """One for all tasks of a Python worker."""
-    key = hash((definition, pattern))
+    key = hash((definition, pattern, encode_special_tokens))
     if key not in encoders:
         encoders.clear()
-        encoders[key] = LibraryEncoder(definition, pattern)
+        encoders[key] = LibraryEncoder(definition, pattern, encode_special_tokens)
     return encoders[key]
 
 
@@ -90,8 +103,13 @@ def block_row(first: int, doc_ids: list, raws: list[bytes]) -> list:
     return [first, doc_ids, counts, sum(counts), words.astype("<u8").tobytes(), plain.tolist()]
 
 
-def write(documents: DataFrame, tokenizer_path: str, pattern: str, path: str, end: int = END) -> None:
-    """Write the files of all documents below ``path``, a folder that Spark can write to."""
+def write(
+    documents: DataFrame, tokenizer_path: str, pattern: str, path: str, end: int = END, encode_special_tokens: bool = True
+) -> None:
+    """Write the files of all documents below ``path``, a folder that Spark can write to.
+
+    Special tokens that a text spells out are text, unless ``encode_special_tokens`` is False, as it is in the library.
+    """
     spark = documents.sparkSession
     with open(tokenizer_path, encoding="utf-8") as lines:
         definition = spark.sparkContext.broadcast(lines.read())  # a fixed vocabulary
@@ -103,7 +121,7 @@ def write(documents: DataFrame, tokenizer_path: str, pattern: str, path: str, en
     )
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(definition.value, pattern)
+        encoder = worker_encoder(definition.value, pattern, encode_special_tokens)
         gc.disable()  # millions of small objects and no cycles
         file, first, doc_ids, raws, held = TaskContext.get().partitionId(), 0, [], [], 0
         arrow = None

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from galewatch.llm import byte_bpe, pieces, simple8b, token_files
+from galewatch.llm import byte_bpe, pieces, queries, simple8b, token_files
 from tests.llm import brute
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -105,3 +105,17 @@ def test_token_files_of_no_rows(spark, documents):
     path = token_files.new_path(spark)
     token_files.write(documents([(1, "x")]).where("false"), public_tokenizers.path("byte_bpe_50k.json"), PATTERN, path)
     assert token_files.read(spark, path).collect() == []
+
+
+def test_op8_recognises_added_tokens(spark, documents, tmp_path):
+    mark = "<|endoftext|>"
+    texts = [mark, f"a{mark}b", f"{mark}{mark} x", f"it's {mark} don't\n", f"a b {mark}", "<|endoftext", "plain text", "", None]
+    documents([*enumerate(texts)]).write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want, at = [], 0
+    for doc_id, text in enumerate(texts):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        want.append((doc_id, at, len(ids), brute.crc32_of(ids)))
+        at += len(ids)
+    assert library.encode(texts[1], add_special_tokens=False).ids == [64, 50256, 65]
+    assert sorted(map(tuple, queries.op8_token_files(spark, str(tmp_path)).collect())) == want
