@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from galewatch.llm.graph import components
-from galewatch.llm.shared import CAPITALS, SMALL, landed
+from galewatch.llm.shared import CAPITALS, SMALL, landed, text_key
 
 MOST_BITS = 2  # the cells above are built for this distance
 SHINGLE = 3  # words
@@ -61,15 +61,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long)."""
+    """doc_id, text_key, fp (the 64 bits as a long)."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py()) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "fp"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(of, f"doc_id {kind}, fp bigint")
+    rows = documents.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
+    return rows.mapInArrow(of, f"doc_id {kind}, text_key bigint, fp bigint")
 
 
 def counts_of_segments(fp: Column) -> Column:
@@ -114,31 +116,40 @@ def one_bits() -> list[int]:
     return [1 << i for i in range(63)] + [-(1 << 63)]
 
 
-def grouped(documents: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id (least doc_id of the group), a row for each row of documents."""
+def grouped_rows(documents: DataFrame) -> DataFrame:
+    """doc_id, text_key, fp, least (doc_id and text_key of the group's first row), a row for each row of documents."""
     prints = landed(fingerprints(documents), "fingerprints")
-    classes = landed(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    known_id = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))
+    classes = landed(prints.groupBy("fp").agg(F.min(known_id).alias("first")), "classes")
     roots = components(links(classes)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    heads = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = rooted.join(heads, "root").select("fp", "component_id")
+    heads = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    known = rooted.join(heads, "root").select("fp", "least")
     return prints.join(landed(known, "components"), "fp")
 
 
+def grouped(documents: DataFrame) -> DataFrame:
+    """doc_id, fp, component_id (least doc_id of the group), a row for each row of documents."""
+    return grouped_rows(documents).select("doc_id", "fp", F.col("least.doc_id").alias("component_id"))
+
+
 def one_of_each(documents: DataFrame) -> DataFrame:
     """Documents, with all their columns: of each group the row with the least doc_id.
 
-    Rows that repeat this id are alike to the group; one of them stays. A group
-    without ids stays whole, as nothing tells its rows apart.
+    Rows are told apart by id and text, as ids can be null or repeat. Of a
+    group's texts with the least id the one with the least key stays, and of its
+    repeated rows one. A group without ids stays whole.
     """
-    groups = landed(grouped(documents), "groups")
-    gone = groups.where("doc_id != component_id or (doc_id is null and component_id is not null)")
-    gone = landed(gone.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    left = documents.join(gone, documents["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-    twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-    twice = landed(twice.select(F.col("doc_id").alias("_twice")), "twice")
-    same = F.col("doc_id") == F.col("_twice")
+    groups = landed(grouped_rows(documents).select("doc_id", "text_key", "least"), "groups")
+    row = F.struct("doc_id", "text_key")
+    gone = groups.where(F.col("least").isNotNull() & (row != F.col("least")))
+    gone = landed(gone.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "gone")
+    key = text_key(documents["text"])
+    left = documents.join(gone, documents["doc_id"].eqNullSafe(gone["_id"]) & (key == gone["_key"]), "left_anti")
+    twice = groups.where("doc_id is not null").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = landed(twice.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "twice")
     if twice.isEmpty():
         return left
+    same = (documents["doc_id"] == twice["_id"]) & (key == twice["_key"])
     once = left.join(twice, same, "left_anti")
-    return once.unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id"]))
+    return once.unionByName(left.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -88,6 +88,19 @@ def test_null_ids_are_no_least_id(documents):
     assert [r.doc_id for r in kept if r.text == "a b c"] == [4]
 
 
+def test_one_of_each_tells_rows_apart_by_text(documents):
+    rows = [(None, "a b c"), (4, "a b c"), (None, "q r s t"), (None, None)]  # one group with an id, unrelated texts without
+    rows += [(7, "k l m n o"), (8, "k l m n o"), (8, "u v w x y"), (8, "u v w x y")]  # 8 has a copy of 7's and its own text
+    rows += [(9, "aa bb cc dd"), (9, "ee ff gg hh")]  # the least of two groups
+    rows += [(10, "One two"), (10, "one TWO")]  # one group whose texts share the least id
+    frame = documents(rows, "_id", "_key", "least")
+    got = sorted(((r.doc_id, r.text) for r in simhash.one_of_each(frame).collect()), key=repr)
+    want = [(4, "a b c"), (None, "q r s t"), (None, None), (7, "k l m n o"), (8, "u v w x y"), (9, "aa bb cc dd"), (9, "ee ff gg hh")]
+    ten = [r for r in got if r[0] == 10]
+    assert len(ten) == 1 and ten[0] in rows
+    assert sorted((r for r in got if r[0] != 10), key=repr) == sorted(want, key=repr)
+
+
 def test_lines(documents):
     rows = [(i, f"Menu\nown line {i}\n\n  \nMenu" if i % 2 else f"Menu\nother {i}", "en", "hot") for i in range(60)]
     rows += [(100 + i, "Menu\nsmall", "en", "small") for i in range(9)] + [(200 + i, f"Rare\nx{i}" if i < 10 else f"y{i}", "en", "r") for i in range(100)]
