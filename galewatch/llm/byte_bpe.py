@@ -1,7 +1,7 @@
 """Byte-level BPE by replaying merges over the words of a block of the corpus.
 
 Each task takes its documents in blocks, cuts them into pieces and replays the
-merges once for all distinct pieces: an inverted index leads from a token pair
+merges once for all distinct pieces that are new to it: an inverted index leads from a token pair
 to the places where it stands, the pair of the lowest rank is applied at all its
 places, and only the pairs of the two neighbours are looked up anew and enter the
 index. Pieces don't influence each other, so blocks may be cut anywhere, nothing
@@ -17,7 +17,6 @@ vocabulary).
 from __future__ import annotations
 
 import base64
-import gc
 import heapq
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -26,11 +25,11 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from galewatch.llm.pieces import blocks, pieces
+from galewatch.llm.pieces import Cutter, blocks
+from galewatch.llm.shared import no_collector
 
 MOST_KEPT = 600_000  # pieces that a Python worker remembers
 COLUMNS = "ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -124,26 +123,24 @@ class Encoder:
     """Encodes and decodes texts; a Python worker keeps one, with pieces met before, for all its tasks."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.merges, self.pattern = Merges(ranks), regex.compile(pattern)
+        self.merges, self.cutter = Merges(ranks), Cutter(pattern)
         self.known: dict[str, bytes] = {}
 
+    def learn(self, new: list[str]) -> None:
+        ranks = self.merges.ranks
+        words = [p.encode() for p in new]
+        left = []
+        for piece, word in zip(new, words, strict=True):
+            if word in ranks:
+                self.known[piece] = pack("<I", ranks[word])
+            else:
+                left.append((piece, word))
+        for (piece, _), ids in zip(left, replay([w for _, w in left], self.merges), strict=True):
+            self.known[piece] = pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian 32-bit numbers."""
-        ranks = self.merges.ranks
-        for block in blocks(texts):
-            parts = list(pieces(texts[block], self.pattern))
-            if len(self.known) > MOST_KEPT:
-                self.known.clear()
-            new = list({p for part in parts for p in part if p not in self.known})
-            words = [p.encode() for p in new]
-            for piece, word in zip(new, words, strict=True):
-                if word in ranks:
-                    self.known[piece] = pack("<I", ranks[word])
-            left = [(p, w) for p, w in zip(new, words, strict=True) if w not in ranks]
-            for (piece, _), ids in zip(left, replay([w for _, w in left], self.merges), strict=True):
-                self.known[piece] = pack(f"<{len(ids)}I", *ids)
-            for part in parts:
-                yield b"".join(map(self.known.__getitem__, part))
+        return self.cutter.encode(texts, self.known, self.learn, MOST_KEPT)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.merges.tokens.__getitem__, ids))
@@ -166,22 +163,22 @@ def encoded(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(ranks, pattern)
-        gc.disable()  # millions of small objects and no cycles
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for block in blocks(texts):
-                own = batch.slice(block.start, block.stop - block.start)
-                ids, digests, decoded = [], [], []
-                for raw in encoder.encode(texts[block]):
-                    row = np.frombuffer(raw, "<u4")
-                    ids.append(row)
-                    digests.append(sha256(raw).hexdigest())
-                    decoded.append(sha256(encoder.decode(row.tolist())).hexdigest())
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                flat = pa.array(np.concatenate(ids).astype(np.int32))
-                columns = [own.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)]
-                columns += [pa.array(np.diff(ends).astype(np.int64)), pa.array(digests), pa.array(decoded)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with no_collector():
+            for batch in batches:
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                for block in blocks(texts):
+                    own = batch.slice(block.start, block.stop - block.start)
+                    ids, digests, decoded = [], [], []
+                    for raw in encoder.encode(texts[block]):
+                        row = np.frombuffer(raw, "<u4")
+                        ids.append(row)
+                        digests.append(sha256(raw).hexdigest())
+                        decoded.append(sha256(encoder.decode(row.tolist())).hexdigest())
+                    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                    flat = pa.array(np.concatenate(ids).astype(np.int32))
+                    columns = [own.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), flat)]
+                    columns += [pa.array(np.diff(ends).astype(np.int64)), pa.array(digests), pa.array(decoded)]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(of, f"doc_id {kind}, {COLUMNS}")

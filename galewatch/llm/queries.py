@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewatch.llm import (
+    alignment,
     byte_bpe,
     decontaminate,
     line_dedup,
@@ -118,4 +119,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.cross_counts(table(spark, sf_dir, "documents"), a, b)
+
+
 QUERIES = {name: build for name, build in globals().items() if name.startswith("op") and callable(build)}

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +17,20 @@ BLANKS = r"[\x20\x09-\x0D]+"  # between words
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where the session names none, one of this process (tests, local mode)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder for intermediate tables that the driver and all executors see.
+
+    It is ``spark.checkpoint.dir``, else the checkpoint folder that the session's
+    context has been given. Where there is neither, a session in local mode
+    (one machine, as in tests) gets a new temporary folder as its checkpoint
+    folder; on a cluster that is an error, since executors would not find it.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="galewatch-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("name a folder that all executors see: spark.checkpoint.dir or SparkContext.setCheckpointDir")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="galewatch-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
@@ -47,3 +60,15 @@ def split_words(text: Column, between: str) -> Column:
 def text_key(text: Column) -> Column:
     """Tells apart the texts of rows that share an id; null has its own value."""
     return F.xxhash64(text, text.isNull())
+
+
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """For work with millions of small objects and no cycles; a Python worker's later tasks have the collector again."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()

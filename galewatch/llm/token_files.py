@@ -14,7 +14,6 @@ than a block is a block of its own. Empty tables give no rows.
 
 from __future__ import annotations
 
-import gc
 import uuid
 from collections.abc import Iterator
 from struct import pack
@@ -22,14 +21,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from galewatch.llm import simple8b
-from galewatch.llm.pieces import blocks, pieces
-from galewatch.llm.shared import landed, shared_folder
+from galewatch.llm.pieces import Cutter
+from galewatch.llm.shared import landed, no_collector, shared_folder
 
 END = 2
 BLOCK_IDS = 1 << 16  # ids after which a block is closed
@@ -56,32 +54,28 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = encode_special_tokens
-        self.written, self.pattern = alphabet(), regex.compile(pattern)
+        self.written, self.cutter = str.maketrans(alphabet()), Cutter(pattern)
         self.known: dict[str, bytes] = {}
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content for token in added if not (token.special and encode_special_tokens)]
 
-    def learn(self, some: set[str]) -> None:
-        model, written = self.tokenizer.model, self.written
-        for piece in some:
-            ids = [token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(written))]
+    def learn(self, new: list[str]) -> None:
+        tokenize, written = self.tokenizer.model.tokenize, self.written
+        for piece in new:
+            ids = [token.id for token in tokenize(piece.encode().decode("latin-1").translate(written))]
             self.known[piece] = pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, as little-endian 32-bit numbers."""
-        for block in blocks(texts):
-            if len(self.known) > MOST_KEPT:
-                self.known.clear()
-            for text, part in zip(texts[block], list(pieces(texts[block], self.pattern)), strict=True):
-                if any(token in text for token in self.added):
-                    ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                    yield pack(f"<{len(ids)}I", *ids)
-                    continue
-                found = list(map(self.known.get, part))
-                if None in found:
-                    self.learn({piece for piece, ids in zip(part, found, strict=True) if ids is None})
-                    found = map(self.known.__getitem__, part)
-                yield b"".join(found)
+        whole = {i: text for i, text in enumerate(texts) if any(token in text for token in self.added)}
+        plain = [text for i, text in enumerate(texts) if i not in whole] if whole else texts
+        cut = self.cutter.encode(plain, self.known, self.learn, MOST_KEPT)
+        for i in range(len(texts)):
+            if i in whole:
+                ids = self.tokenizer.encode(whole[i], add_special_tokens=False).ids
+                yield pack(f"<{len(ids)}I", *ids)
+            else:
+                yield next(cut)
 
 
 encoders: dict[int, LibraryEncoder] = {}
@@ -122,24 +116,24 @@ def write(
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(definition.value, pattern, encode_special_tokens)
-        gc.disable()  # millions of small objects and no cycles
-        file, first, doc_ids, raws, held = TaskContext.get().partitionId(), 0, [], [], 0
-        arrow = None
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            arrow = batch.schema.field("doc_id").type
-            rows = []
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
-                doc_ids.append(doc_id)
-                raws.append(raw + pack("<I", end))
-                held += len(raw) // 4 + 1
-                if held >= BLOCK_IDS:
-                    rows.append(block_row(first, doc_ids, raws))
-                    first, doc_ids, raws, held = first + held, [], [], 0
-            if rows:
-                yield as_batch(file, rows, arrow)
-        if doc_ids:
-            yield as_batch(file, [block_row(first, doc_ids, raws)], arrow)
+        with no_collector():
+            file, first, doc_ids, raws, held = TaskContext.get().partitionId(), 0, [], [], 0
+            arrow = None
+            for batch in batches:
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                arrow = batch.schema.field("doc_id").type
+                rows = []
+                for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+                    doc_ids.append(doc_id)
+                    raws.append(raw + pack("<I", end))
+                    held += len(raw) // 4 + 1
+                    if held >= BLOCK_IDS:
+                        rows.append(block_row(first, doc_ids, raws))
+                        first, doc_ids, raws, held = first + held, [], [], 0
+                if rows:
+                    yield as_batch(file, rows, arrow)
+            if doc_ids:
+                yield as_batch(file, [block_row(first, doc_ids, raws)], arrow)
 
     def as_batch(file: int, rows: list[list], arrow: pa.DataType) -> pa.RecordBatch:
         first, doc_ids, counts, n_ids, words, plain = zip(*rows, strict=True)

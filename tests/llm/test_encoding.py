@@ -28,11 +28,29 @@ def encoder():
     return byte_bpe.Encoder(RANKS, PATTERN)
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("ab'stre  \n\t1é中!.²"), max_size=40), max_size=6))
+def as_lists(cutter, texts):
+    words, which, counts = cutter.cut(texts)
+    assert len(set(words)) == len(words)
+    flat = iter([words[i] for i in which])
+    return [[next(flat) for _ in range(count)] for count in counts]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab'strelvmd  \n\t1é中!.²"), max_size=40), max_size=6))
 def test_pieces(texts):
-    pattern = regex.compile(PATTERN)
-    assert list(pieces.pieces(texts, pattern)) == [pattern.findall(t) for t in texts]
+    assert as_lists(pieces.Cutter(PATTERN), texts) == [regex.findall(PATTERN, t) for t in texts]
+
+
+@pytest.mark.parametrize("pattern", [r"[0-9]|[^0-9]+", r"\S+|\s+"])
+def test_pieces_of_another_pattern(pattern):
+    texts = ["ab 12", "ab' 12", "", "it's 1"]
+    assert as_lists(pieces.Cutter(pattern), texts) == [regex.findall(pattern, t) for t in texts]
+
+
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(pieces, "rolling", lambda n: (np.zeros(n, np.uint64), np.zeros(n, np.uint64)))
+    texts = ["a bb a c bb", "bb a"]
+    assert as_lists(pieces.Cutter(PATTERN), texts) == [regex.findall(PATTERN, t) for t in texts]
 
 
 @settings(max_examples=200, deadline=None)
