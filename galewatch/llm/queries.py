@@ -17,6 +17,7 @@ from galewatch.llm import (
     quality_rules,
     simhash,
     token_files,
+    topk_search,
     url_filter,
 )
 
@@ -124,4 +125,8 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.cross_counts(table(spark, sf_dir, "documents"), a, b)
 
 
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {name: build for name, build in globals().items() if name.startswith("op") and callable(build)}

@@ -141,4 +141,19 @@ from (
 ) d
 """
 
-ORACLES = {"op3_quality_rules": OP3, "op6_url_filter": OP6, "op9_decontaminate": OP9, "op10_line_dedup": OP10}
+OP13 = """
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), ranked as (
+  select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v)::bigint as score,
+         row_number() over (partition by q.vec_id, q.v order by list_inner_product(q.v, c.v) desc, c.vec_id, c.v) as rank
+  from v q join v c on q.vec_id <> c.vec_id or q.v <> c.v
+  where q.vec_id % 20 = 0
+)
+select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 20
+"""
+
+ORACLES = {"op3_quality_rules": OP3, "op6_url_filter": OP6, "op9_decontaminate": OP9, "op10_line_dedup": OP10, "op13_topk_search": OP13}
