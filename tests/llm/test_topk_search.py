@@ -73,7 +73,7 @@ def test_pruned_searches_find_the_same():
         old, topk_search.BUCKET = topk_search.BUCKET, 40
         at, ids, _, scores = search.run()
         topk_search.BUCKET = old
-        assert any(asked)
+        assert spread or any(asked)
         for i in range(36):
             want = sorted((-int(s), j) for j, s in enumerate(v @ q["vectors"][i]) if j != q["ids"][i])[:5]
             assert [(-s, j) for s, j in zip(scores[at == i].tolist(), ids[at == i].tolist())] == want
