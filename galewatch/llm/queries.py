@@ -16,6 +16,7 @@ from galewatch.llm import (
     pii,
     quality_rules,
     simhash,
+    spelling,
     token_files,
     topk_search,
     url_filter,
@@ -120,6 +121,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.cross_counts(table(spark, sf_dir, "documents"), a, b)
