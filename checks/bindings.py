@@ -4,6 +4,7 @@ A binding only projects stored columns into the shape an operator expects;
 each query reads whole tables.
 """
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -187,6 +188,14 @@ def label_join(spark, directory):
     return labelled(spark, directory)
 
 
+@query
+def label_join_stored(spark, directory):
+    """Both sides are landed by key first, under names of their own for each directory."""
+    labels = table(spark, directory, "labels").withColumn("doc_id", F.col("doc_id").cast("string"))
+    names = [f"galewatch_{side}_{zlib.crc32(directory.encode()):08x}" for side in ("messages", "labels")]
+    return messages.land_for_join(table(spark, directory, "documents"), labels, tuple(names), params.BUCKETS, "doc_id")
+
+
 # ---- previews -------------------------------------------------------------------
 
 
@@ -409,6 +418,16 @@ def classify_overall(spark, directory):
     return reports.classify_logistic_regression(topics(spark, directory)).overall
 
 
+@query
+def classify_rf_overall(spark, directory):
+    return reports.classify_random_forest(topics(spark, directory)).overall
+
+
+@query
+def classify_rf_distribution(spark, directory):
+    return reports.classify_random_forest(topics(spark, directory)).label_distribution
+
+
 @query
 def classify_distribution(spark, directory):
     return reports.classify_logistic_regression(topics(spark, directory)).label_distribution

@@ -41,6 +41,8 @@ select conv_id as id, turn, role, text, null::varchar as lang, null::varchar as
 from conversations
 union all select doc_id, null, null, text, lang, source, n_chars from documents"""
 
+ORACLES["label_join_stored"] = "select d.*, quality, toxic from documents d join labels using (doc_id)"
+
 ORACLES["label_join"] = f"select * from {LABELLED}"
 
 MALFORMED = "event_id % 97 = 5"
@@ -348,3 +350,6 @@ encoded as materialized (
   from topics join topic using (label) where n_chars % 5 <> 0)
 select feature_x, feature_y, round(max(corr), 6) as corr
 from ({correlations(ENCODED, "encoded")}) group by 1, 2"""
+
+ORACLES["classify_rf_overall"] = ORACLES["classify_overall"]
+ORACLES["classify_rf_distribution"] = ORACLES["classify_distribution"]

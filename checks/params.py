@@ -19,3 +19,4 @@ PLACES = {"fr": "Paris, FR", "de": "Berlin,DE", "en": "London, EN, UK"}  # of la
 PLACED = ("FR", "DE")
 LONG_TEXT = 1500
 FEATURES = ("n_chars", "quality", "toxic")
+BUCKETS = 8  # of the tables landed for the join; a bucket should fit a task

@@ -2,15 +2,15 @@
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 from operator import and_
 from typing import NamedTuple
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-MOST_LABELS = 1_000_000  # distinct labels, which one task numbers
+ROW_BITS = 33  # of Spark's ids that are unique and ascending: a partition's rows; the bits above are the partition
 
 
 class Encoded(NamedTuple):
@@ -27,15 +27,27 @@ def flag_index(flag: Column) -> Column:
 
 
 def label_index(df: DataFrame, label: str) -> DataFrame:
-    """(label, label_index, count): 0 for the most frequent label, ties alphabetical; null labels left out.
+    """(label, label_index, count): 0 for the most frequent label, ties alphabetical; null labels left out."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).count()
+    index = numbered(counts, [F.col("count").desc(), F.col(label)], "label_index")
+    return index.select(label, F.col("label_index").cast("int").alias("label_index"), "count")
+
 
-    The window runs over one row per distinct label. Labels are a vocabulary:
-    more than MOST_LABELS of them are an error.
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """``df`` with the place of each row in the given order, from 0.
+
+    Rows are sorted in ranges and numbered within their range by the task that
+    has it; how many rows each range holds is the only thing that is gathered, a
+    number for each partition. The ranges are kept from the counting to the
+    numbering, and a lost one is sorted again with the same bounds.
     """
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).count()
-    index = F.row_number().over(Window.orderBy(F.col("count").desc(), label)) - 1
-    too_many = F.raise_error(F.lit(f"{label} has more than {MOST_LABELS} values")).cast("int")
-    return counts.select(label, F.when(index < MOST_LABELS, index).otherwise(too_many).alias("label_index"), "count")
+    place = f"{name}_in_range"
+    ranged = df.orderBy(*order).withColumn(place, F.monotonically_increasing_id()).persist()
+    part, within = F.shiftright(place, ROW_BITS), F.col(place).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    sizes = dict(ranged.groupBy(part.alias("part")).count().collect())
+    starts = accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=0)
+    start = F.expr(f"array({', '.join(f'{at}L' for at in starts)})")
+    return ranged.withColumn(name, F.get(start, part.cast("int")) + within).drop(place)
 
 
 def fit_label_index(df: DataFrame, label: str, output: str) -> StringIndexerModel:

@@ -11,14 +11,26 @@ SHARES = 64  # parts in which a class is ranked first
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows in seeded hash order of the key: a top-n per task, then of those.
+    """n rows in seeded hash order of the key.
 
-    Rows that share a key are ordered by a hash of all columns, so the sample
-    is the same on any layout. (Maps have no hash; they don't count here.)
+    The n keys come first, from a scan of the key alone; then the rows of these
+    keys are fetched whole. Only they are told apart by a hash of all columns, so
+    that the sample is the same on any layout where rows share a key. (Maps have
+    no hash; they don't count here.)
     """
-    key_column = F.col(key)
+    order = lambda column: (hashing.seeded(column, seed), column)
+    held = df.select(F.col(key).alias(new_name(df, "key")))
+    chosen = held.orderBy(*order(held[0])).limit(n).distinct()
+    rows = df.join(chosen, df[key].eqNullSafe(chosen[0])).select(*[df[name] for name in df.columns])
     hashable = [field.name for field in df.schema if "map<" not in field.dataType.simpleString()]
-    return df.orderBy(hashing.seeded(key_column, seed), key_column, F.xxhash64(*hashable)).limit(n)
+    return rows.orderBy(*order(F.col(key)), F.xxhash64(*hashable)).limit(n)
+
+
+def new_name(df: DataFrame, like: str) -> str:
+    """A column name that the frame doesn't have."""
+    while like.lower() in map(str.lower, df.columns):
+        like += "_"
+    return like
 
 
 def first_per_class(df: DataFrame, label: str, n: int, *order: str) -> DataFrame:

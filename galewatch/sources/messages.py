@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from galewatch import schemas
 from galewatch.functions import temporal
+from galewatch.sources.tables import land_by_key
 
 
 class MessageScan(NamedTuple):
@@ -113,5 +114,24 @@ def join_labels(messages: DataFrame, labels: DataFrame, key: str = "tweet_id") -
     broadcasts it only below its threshold and otherwise sort-merges, where
     AQE splits a skewed key.
     """
-    key_type = messages.schema[key].dataType
-    return messages.join(labels.withColumn(key, F.col(key).try_cast(key_type)), key, "inner")
+    return messages.join(keyed_like(labels, messages, key), key, "inner")
+
+
+def keyed_like(labels: DataFrame, messages: DataFrame, key: str = "tweet_id") -> DataFrame:
+    """Labels with their key in the messages' type, null where the text is none."""
+    return labels.withColumn(key, F.col(key).try_cast(messages.schema[key].dataType))
+
+
+def land_for_join(
+    messages: DataFrame, labels: DataFrame, tables: tuple[str, str], buckets: int, key: str = "tweet_id"
+) -> DataFrame:
+    """Store both sides bucketed and sorted by key under two table names; the join of the stored tables.
+
+    Every question about labelled messages then reads and merges bucket by bucket;
+    neither side passes an exchange again. The join is the same as
+    :func:`join_labels`.
+    """
+    stored = land_by_key(messages, tables[0], key, buckets)
+    known = keyed_like(labels, messages, key).where(F.col(key).isNotNull())
+    # A hint, as labels below the broadcast threshold would be sent to all tasks each time.
+    return stored.join(land_by_key(known, tables[1], key, buckets).hint("merge"), key, "inner")

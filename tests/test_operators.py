@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from galewatch.functions import hashing
 from galewatch.operators import (
     calendar,
     classify,
@@ -47,6 +48,20 @@ def test_sample_repeats_with_repeated_keys(spark):
     assert first == sampling.sample_n(df.repartition(7), "id", 5, 44).collect()
 
 
+def test_sample_reads_the_key_first(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    rows = [(i % 7 if i % 7 else None, i, f"text {i}", f"clash {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x long, text string, key string").repartition(3)
+    df.write.parquet(path)
+    stored = spark.read.parquet(path)
+    for n in (0, 3, 40, 500):
+        got = sampling.sample_n(stored, "id", n, 44).collect()
+        whole = df.orderBy(hashing.seeded(F.col("id"), 44), "id", F.xxhash64(*df.columns)).limit(n).collect()
+        assert got == whole and len(got) == min(n, 200)
+    scans = [line for line in plan_of(sampling.sample_n(stored, "id", 15, 44)).splitlines() if "FileScan" in line]
+    assert sum("ReadSchema: struct<id:bigint>" in line for line in scans) == 1 and len(scans) == 2
+
+
 def test_ranks_beyond_the_group_limit(numbers, spark):
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
     try:
@@ -66,10 +81,15 @@ def test_tracks_in_order_of_time(spark, kind):
     assert sorted((r.start_lat, r.end_lat) for r in got) == [(float(i), float(i + 1)) for i in range(39)]
 
 
-def test_too_many_labels_are_an_error(numbers, monkeypatch):
-    monkeypatch.setattr(encoding, "MOST_LABELS", 3)
-    with pytest.raises(Exception, match="more than 3 values"):
-        encoding.label_index(numbers, "label").collect()
+def test_labels_are_numbered_in_ranges(spark):
+    """A thousand labels over all partitions, one of them with half of the rows; none goes through one task."""
+    counts = {f"l{i:04d}": 1 + i % 7 for i in range(1_000)} | {"hot": 4_000}
+    df = spark.createDataFrame([(x,) for x, n in counts.items() for _ in range(n)], "label string").repartition(7)
+    index = encoding.label_index(df, "label")
+    want = [(x, i, n) for i, (x, n) in enumerate(sorted(counts.items(), key=lambda item: (-item[1], item[0])))]
+    assert sorted(map(tuple, index.collect()), key=lambda row: row[1]) == want
+    assert "SinglePartition" not in plan_of(index) and "Window" not in plan_of(index)
+    assert encoding.label_index(df.where("false"), "label").collect() == []
 
 
 def test_split_covers_all_rows_once(numbers):

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from galewatch import schemas
 from galewatch.sources import messages as sources
-from galewatch.sources.tables import land, parameter_table, read_table
+from galewatch.sources.tables import land, land_by_day, parameter_table, read_table
 
 
 def test_flat_schema_is_the_declared_one(flat):
@@ -79,6 +79,33 @@ def test_landed_table_reads_back(spark, flat, tmp_path):
     assert "ReadSchema: struct<hashtags:array<string>>" in plan_of(pruned)
 
 
+def test_days_are_replaced_one_by_one(spark, flat, tmp_path):
+    path = str(tmp_path / "days")
+    land_by_day(flat, path)
+    first = sorted(map(tuple, read_table(spark, path).select("tweet_id", "tweet_date").collect()), key=repr)
+    land_by_day(flat, path)  # again: nothing doubles
+    assert sorted(map(tuple, read_table(spark, path).select("tweet_id", "tweet_date").collect()), key=repr) == first
+    assert len(first) == flat.count()
+    land_by_day(flat.where("tweet_id = 2"), path)
+    after = read_table(spark, path).groupBy("tweet_date").count().collect()
+    before = {day: sum(d == day for _, d in first) for _, day in first}
+    assert dict(map(tuple, after)) == before | {"Mon Aug 28": 1}
+    plan = plan_of(read_table(spark, path).where("tweet_date = 'Mon Aug 28'"))
+    assert "PartitionFilters: [isnotnull(tweet_date" in plan
+
+
+def test_stored_tables_join_without_exchange(spark, flat, labels, labelled):
+    joined = sources.land_for_join(flat, labels, ("stored_messages", "stored_labels"), 4)
+    assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
+    assert joined.columns == labelled.columns
+    both = [sorted(map(repr, frame.collect())) for frame in (joined, labelled)]
+    assert both[0] == both[1]
+    again = sources.land_for_join(flat, labels, ("stored_messages", "stored_labels"), 4)
+    assert again.count() == len(both[1])
+    for name in ("stored_messages", "stored_labels"):
+        spark.sql(f"drop table {name}")
+
+
 def test_parameter_table_has_known_size(spark):
     assert "LocalTableScan" in plan_of(parameter_table(spark, ["word", "valence"], [("good", 1.9)]))
 
