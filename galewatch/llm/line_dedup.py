@@ -1,8 +1,9 @@
 """Boilerplate lines by site-relative frequency.
 
 A site's pages are its rows. A line is boilerplate of a site if the share of the
-site's pages that hold it exceeds ``ratio`` and at least ``least_pages`` pages
-hold it; so a small site has none. Lines without a word are never counted or
+site's pages that hold it exceeds ``ratio``. At least ``least_pages`` pages must
+hold it: on a site of a few pages one page or two copies of it are above any
+ratio by chance. Lines without a word are never counted or
 dropped. A line counts once per page, however often the page repeats it. Column
 functions only.
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from galewatch.llm.shared import landed
 
 RATIO = 0.1
-LEAST_PAGES = 10
+LEAST_PAGES = 3
 
 
 def worded(line: Column) -> Column:
@@ -44,7 +45,10 @@ def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO, le
 def with_lines_judged(
     pages: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
 ) -> DataFrame:
-    """Pages with ``_lines`` and ``_left``: all lines of the text, and those that are no boilerplate of its site."""
+    """Pages with ``_lines`` and ``_left``: all lines of the text, and those that are no boilerplate of its site.
+
+    The pages' own names must not begin with an underscore.
+    """
     dropped = boilerplate(pages, site, text, ratio, least_pages)
     out = pages.join(dropped, F.col(site).eqNullSafe(F.col("_site")), "left").drop("_site")
     out = out.withColumn("_lines", F.split(F.col(text), "\n"))
@@ -57,8 +61,10 @@ def without_boilerplate(
     documents: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
 ) -> DataFrame:
     """Documents with the same columns; the text without boilerplate, n_chars (if there) of the new text."""
-    out = with_lines_judged(documents, site, text, ratio, least_pages)
-    out = out.withColumn(text, F.array_join("_left", "\n"))
+    # The row stays in one column, so that no name of its own meets one of those made here.
+    packed = documents.select(F.struct("*").alias("row"), F.col(site).alias("site"), F.col(text).alias("text"))
+    out = with_lines_judged(packed, "site", "text", ratio, least_pages).withColumn("text", F.array_join("_left", "\n"))
+    new = {text: F.col("text")}
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.length(text).cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+        new["n_chars"] = F.length("text").cast(documents.schema["n_chars"].dataType)
+    return out.select(*[new.get(name, F.col("row").getField(name)).alias(name) for name in documents.columns])

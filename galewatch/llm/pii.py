@@ -33,7 +33,7 @@ from galewatch.llm.pii_rules import KINDS, base_spans, digits_of, in_order, luhn
 SAMPLE = 3_000  # documents that the model is trained on, the first by hash
 PASSAGE = 600  # characters of a sampled document that the driver gets
 DRAWS = 1 << 40
-WINDOW, OVERLAP = 1024, 64  # characters; the overlap exceeds the longest span that is looked for
+WINDOW, OVERLAP = 1024, 128  # characters; a span up to the overlap's length is whole in some window
 LANES = 2048  # windows read together
 TRAINED = 96  # characters of a training window
 STEPS, BATCH, SEED = 260, 96, 7

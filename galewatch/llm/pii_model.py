@@ -119,9 +119,14 @@ def best_paths(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
 
 
 def hopeless(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Windows whose best path is surely without personal data: nowhere does a tag make up for the best possible move."""
+    """Windows whose best path is surely without personal data.
+
+    A run of m other tags has m + 1 moves at most that differ from staying
+    outside, each better by the best move's lead; so its tags must make up for
+    1 + 1 / m leads each, and for two if it has one character.
+    """
     most = (scores[:, 1:] - scores[:, :1]).max(axis=(0, 1))
-    return most + max(0.0, float(moves.max() - moves[0, 0])) < 0
+    return most + 2 * max(0.0, float(moves.max() - moves[0, 0])) < 0
 
 
 # ---- training ---------------------------------------------------------------

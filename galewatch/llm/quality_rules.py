@@ -171,7 +171,13 @@ def rules(documents: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataF
 
 
 def without_rejected(documents: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """Documents, with all their columns, that pass base rules and cutoffs."""
-    narrow = landed(measured(documents.select("doc_id", "lang", "text")).drop("text"), "measures")
-    chosen = cutoffs(narrow, labels, risk)
-    return judged(measured(documents), chosen).where("_kept").select(*documents.columns)
+    """Documents, with all their columns, that pass base rules and cutoffs.
+
+    They are stored with their measures, so that texts are measured once. The row
+    stays in one column, so that no name of its own meets one of those made here.
+    """
+    packed = documents.select(F.struct("*").alias("row"), "doc_id", "lang", "text")
+    whole = landed(measured(packed).drop("text"), "measured")
+    chosen = cutoffs(whole.select("doc_id", "lang", "_measures"), labels, risk)
+    kept = judged(whole, chosen).where("_kept")
+    return kept.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])

@@ -129,7 +129,7 @@ with lines as (
   select source, count(*) as pages from documents group by source
 ), dropped as (
   select h.source, l from (select source, l, count(*) as held from lines group by all) h
-  join totals t on h.source is not distinct from t.source and held >= 10 and held > 0.1 * pages
+  join totals t on h.source is not distinct from t.source and held >= 3 and held > 0.1 * pages
 )
 select doc_id, d.source, coalesce(len(ls), 0)::bigint as n_lines, coalesce(len(ls) - len(kept), 0)::bigint as n_dropped,
        case when ls is not null then array_to_string(kept, chr(10)) end as text

@@ -103,10 +103,12 @@ def test_one_of_each_tells_rows_apart_by_text(documents):
 
 def test_lines(documents):
     rows = [(i, f"Menu\nown line {i}\n\n  \nMenu" if i % 2 else f"Menu\nother {i}", "en", "hot") for i in range(60)]
-    rows += [(100 + i, "Menu\nsmall", "en", "small") for i in range(9)] + [(200 + i, f"Rare\nx{i}" if i < 10 else f"y{i}", "en", "r") for i in range(100)]
+    rows += [(100 + i, "Menu\nsmall", "en", "small") for i in range(2)] + [(200 + i, f"Rare\nx{i}" if i < 10 else f"y{i}", "en", "r") for i in range(100)]
     rows += [(300 + i, f"Often\nx{i}" if i < 11 else f"y{i}", "en", "o") for i in range(100)] + [(400, None, "en", "hot"), (401, "", "en", "hot")]
     rows += [(500 + i, f"Null site\n{i}", "en", None) for i in range(20)] + [(600, "Menu", "en", "hot"), (600, "Menu", "en", "hot")]
-    frame = documents(rows, "_line", "held", "host")
+    rows += [(700 + 100 * n + i, "Foot\nx" if i < 3 else f"y{i}", "en", f"site{n}") for n in (3, 20, 29, 31, 99) for i in range(n)]
+    frame = documents(rows, "_line", "held", "host", "_lines", "_left", "_site", "_dropped", "row", "site")
+    assert set(line_dedup.without_boilerplate(frame).select("_lines", "_left", "_site", "_dropped", "row", "site").distinct().first()) == {"clash"}
     got = {(r.doc_id, r.text, r.n_chars) for r in line_dedup.without_boilerplate(frame).collect()}
     assert line_dedup.without_boilerplate(frame).columns == frame.columns
     assert line_dedup.without_boilerplate(frame).count() == len(rows)
@@ -114,8 +116,8 @@ def test_lines(documents):
     def cut(doc_id, text, _, site):
         if text is None:
             return None
-        gone = {"hot": "Menu", "o": "Often", None: "Null site"}.get(site)
-        return "\n".join(line for line in text.split("\n") if line != gone)
+        gone = {"hot": ["Menu"], "o": ["Often"], None: ["Null site"]} | {f"site{n}": ["Foot", "x"] for n in (3, 20, 29)}
+        return "\n".join(line for line in text.split("\n") if line not in gone.get(site, []))
 
     want = {(r[0], cut(*r), len(cut(*r)) if r[1] is not None else None) for r in rows}
     assert got == want

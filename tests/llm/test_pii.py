@@ -74,6 +74,27 @@ def test_best_paths_against_all_paths():
     assert all(not paths[:, lane].any() for lane in np.flatnonzero(none))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10_000))
+def test_no_window_with_a_span_is_given_up(seed):
+    """Margins near the bound, as where one character takes two good moves."""
+    random = np.random.default_rng(seed)
+    scores = random.normal(size=(6, pii_model.TAGS, 20)).astype(np.float32) - np.float32(random.uniform(0, 3))
+    scores[:, 0] = 0
+    moves = random.normal(size=(pii_model.TAGS, pii_model.TAGS)).astype(np.float32)
+    paths = pii_model.best_paths(scores, moves)
+    assert not paths[:, pii_model.hopeless(scores, moves)].any()
+
+
+def test_one_character_takes_two_moves():
+    moves = np.zeros((pii_model.TAGS, pii_model.TAGS), np.float32)
+    moves[0, 1] = moves[1, 0] = 1
+    scores = np.full((3, pii_model.TAGS, 1), -9, np.float32)
+    scores[:, 0], scores[1, 1] = 0, -1.5
+    assert pii_model.best_paths(scores, moves)[:, 0].tolist() == [0, 1, 0]
+    assert not pii_model.hopeless(scores, moves).any()
+
+
 def test_gradients_are_those_of_the_loss():
     random = np.random.default_rng(1)
     scores, moves = random.normal(size=(4, pii_model.TAGS, 2)), random.normal(size=(pii_model.TAGS, pii_model.TAGS))

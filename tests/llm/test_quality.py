@@ -54,6 +54,16 @@ def test_enough_labels_certify_a_cutoff(spark, documents):
     assert kept.agg(F.count("*"), F.max("doc_id")).first() == (3500, 3499)
 
 
+def test_columns_of_the_same_names_come_back(spark, documents):
+    names = ["_words", "_sorted", "_lines", "_kept", "_measures", "_stratum", "_cut_marks", "_windows", "_counts", "row", "stratum", "_good"]
+    frame, labels = labelled(spark, documents, 30, 5)
+    for name in names:
+        frame = frame.withColumn(name, F.lit("clash"))
+    kept = quality_rules.without_rejected(frame, labels)
+    assert kept.columns == frame.columns and kept.count() == 35
+    assert set(kept.select(*names).distinct().first()) == {"clash"}
+
+
 def test_few_labels_certify_none(spark, documents):
     frame, labels = labelled(spark, documents, 500, 300)
     assert quality_rules.without_rejected(frame, labels).count() == 800
