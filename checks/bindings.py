@@ -4,7 +4,7 @@ A binding only projects stored columns into the shape an operator expects;
 each query reads whole tables.
 """
 
-import zlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -190,9 +190,9 @@ def label_join(spark, directory):
 
 @query
 def label_join_stored(spark, directory):
-    """Both sides are landed by key first, under names of their own for each directory."""
+    """Both sides are landed by key first, under new names: a catalog in memory doesn't know what an earlier session stored."""
     labels = table(spark, directory, "labels").withColumn("doc_id", F.col("doc_id").cast("string"))
-    names = [f"galewatch_{side}_{zlib.crc32(directory.encode()):08x}" for side in ("messages", "labels")]
+    names = [f"galewatch_{side}_{uuid.uuid4().hex}" for side in ("messages", "labels")]
     return messages.land_for_join(table(spark, directory, "documents"), labels, tuple(names), params.BUCKETS, "doc_id")
 
 

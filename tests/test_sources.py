@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,15 +96,18 @@ def test_days_are_replaced_one_by_one(spark, flat, tmp_path):
     assert "PartitionFilters: [isnotnull(tweet_date" in plan
 
 
+STORED = tuple(f"stored_{side}_{uuid.uuid4().hex}" for side in ("messages", "labels"))
+
+
 def test_stored_tables_join_without_exchange(spark, flat, labels, labelled):
-    joined = sources.land_for_join(flat, labels, ("stored_messages", "stored_labels"), 4)
+    joined = sources.land_for_join(flat, labels, STORED, 4)
     assert "Exchange" not in plan_of(joined) and "SortMergeJoin" in plan_of(joined)
     assert joined.columns == labelled.columns
     both = [sorted(map(repr, frame.collect())) for frame in (joined, labelled)]
     assert both[0] == both[1]
-    again = sources.land_for_join(flat, labels, ("stored_messages", "stored_labels"), 4)
+    again = sources.land_for_join(flat, labels, STORED, 4)
     assert again.count() == len(both[1])
-    for name in ("stored_messages", "stored_labels"):
+    for name in STORED:
         spark.sql(f"drop table {name}")
 
 
