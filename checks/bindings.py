@@ -24,7 +24,7 @@ from galewatch.operators import (
     sentiment,
     words,
 )
-from galewatch.plans import reports
+from galewatch.plans import hourly, reports
 from galewatch.sources import messages
 from galewatch.sources.tables import read_table
 
@@ -160,6 +160,25 @@ def json_quarantine(spark, directory):
     return counting.total(messages.parse_messages(message_lines(spark, directory)).quarantine, "malformed")
 
 
+def damaged_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """Events as JSON lines; some with fields of another type, some cut off."""
+    record = nested_posts(spark, directory).select(F.col("id").alias("number"), "user")
+    number = F.col("number").cast("string")
+    text_id = F.when(F.col("number") % 7 == 3, F.concat(F.lit('"n'), number, F.lit('"'))).otherwise(number)
+    wrong = F.col("user").withField("followers_count", F.lit("many")).withField("verified", F.lit("no"))
+    user = F.when(F.col("number") % 11 == 4, F.to_json(wrong)).otherwise(F.to_json("user"))
+    line = F.concat(F.lit('{"id": '), text_id, F.lit(', "user": '), user, F.lit("}"))
+    cut_off = F.col("number") % 13 == 5
+    return record.select(
+        F.when(cut_off, F.substring(line, 1, 12)).otherwise(line).alias("value"), F.lit("events").alias("file")
+    )
+
+
+@query
+def json_quarantine_fields(spark, directory):
+    return messages.quarantine_counts(messages.parse_messages(damaged_lines(spark, directory)))
+
+
 @query
 def label_scan(spark, directory):
     confidence = F.when(F.col("quality") == 1, F.concat(F.lit("0."), F.col("toxic").cast("string")))
@@ -241,6 +260,26 @@ def running_avg(spark, directory):
     return calendar.running_avg(posts(spark, directory))
 
 
+def hours_taken(spark: SparkSession, directory: str) -> str:
+    """The table, newly named, of the hours counted from events, which are offered to it twice."""
+    name = f"galewatch_hours_{uuid.uuid4().hex}"
+    versioned = table(spark, directory, "events").select("ts", *hourly.version_columns())
+    flat = calendar.parse_created_at(versioned.withColumn("created_at", created_at()), "created_at")
+    for _ in range(2):
+        hourly.take(name, flat)
+    return name
+
+
+@query
+def avg_per_hour_stored(spark, directory):
+    return hourly.avg_per_hour(spark, hours_taken(spark, directory))
+
+
+@query
+def running_avg_stored(spark, directory):
+    return hourly.running_avg(spark, hours_taken(spark, directory))
+
+
 @query
 def label_counts(spark, directory):
     return counting.count_by(labelled(spark, directory), "label")

@@ -49,6 +49,14 @@ MALFORMED = "event_id % 97 = 5"
 ORACLES["json_scan"] = f"{ORACLES['flatten_nested']} where not ({MALFORMED})"
 ORACLES["json_quarantine"] = f"select 'malformed' as dataset, count(*) as \"count\" from events where {MALFORMED}"
 
+TEXT_ID, WRONG_USER, CUT_OFF = "event_id % 7 = 3", "event_id % 11 = 4", "event_id % 13 = 5"
+ORACLES["json_quarantine_fields"] = f"""
+select 'events' as file, field, count(*) as "count" from (
+  select null::varchar as field from events where {CUT_OFF}
+  union all select 'id' from events where {TEXT_ID} and not ({CUT_OFF})
+  union all select unnest(['user.followers_count', 'user.verified']) from events where {WRONG_USER} and not ({CUT_OFF}))
+group by 2"""
+
 ORACLES["label_scan"] = """
 select doc_id::varchar as tweet_id, quality || '_' || toxic as "AIDRLabel",
   case when quality = 1 then '0.' || toxic end as "AIDRConfidence"
@@ -83,6 +91,9 @@ select tweet_date, tweet_hour, "count",
   avg("count") over (partition by tweet_date order by tweet_hour) as avg_tweet_count
 from {HOURLY}"""
 
+ORACLES["avg_per_hour_stored"] = ORACLES["avg_per_hour"]
+ORACLES["running_avg_stored"] = ORACLES["running_avg"]
+
 ORACLES["label_counts"] = f"""select label, count(*) as "count" from {LABELLED} group by 1"""
 
 ORACLES["distinct_labels"] = f"select distinct label from {LABELLED}"

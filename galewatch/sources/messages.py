@@ -1,8 +1,9 @@
 """Raw messages (JSON Lines) and topic labels (TSV) as typed frames."""
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,8 +12,12 @@ from galewatch.functions import temporal
 from galewatch.sources.tables import land_by_key
 
 
+# Texts that the JSON reader takes for a double.
+NOT_FINITE = ("NaN", "Infinity", "+Infinity", "-Infinity", "INF", "+INF", "-INF")
+
+
 class MessageScan(NamedTuple):
-    """Well-formed records; and the malformed ones, with their text and file."""
+    """Well-formed records; and the malformed ones, with their text, file and the fields that failed."""
 
     messages: DataFrame
     quarantine: DataFrame
@@ -24,8 +29,8 @@ def scan_messages(spark: SparkSession, *directories: str) -> MessageScan:
     return parse_messages(lines.select("value", F.col("_metadata.file_path").alias("file")))
 
 
-def parse_messages(lines: DataFrame) -> MessageScan:
-    """Records of JSON lines (columns ``value``, ``file``); blank lines are none.
+def parse_messages(lines: DataFrame, keep: Sequence[str] = ()) -> MessageScan:
+    """Records of JSON lines (columns ``value``, ``file``, and those to keep); blank lines are none.
 
     A record is malformed when it is no JSON object or any field has another
     type. Each line is parsed as a whole for that, whatever columns a query
@@ -35,22 +40,84 @@ def parse_messages(lines: DataFrame) -> MessageScan:
     column would be parsed again for the filter. Land the records with
     :func:`galewatch.sources.tables.land` once; scans of that read only what
     they need.
+
+    Malformed lines come with the fields that failed (:func:`failed_fields`);
+    only they are parsed for that. Well-formed ones have the columns to keep (and
+    ``file`` then) beside the record.
     """
     schema = T.StructType([*schemas.RAW_MESSAGE.fields, T.StructField(schemas.CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     parsed = F.inline(F.array(F.from_json("value", schema, options)))
-    records = lines.where(F.col("value").rlike(r"\S")).select("file", parsed)
+    records = lines.where(F.col("value").rlike(r"\S")).select("file", *keep, parsed)
     corrupt = F.col(schemas.CORRUPT)
+    fields = failed_fields(corrupt, schemas.RAW_MESSAGE)
+    good = records.where(corrupt.isNull()).drop(schemas.CORRUPT)
     return MessageScan(
-        messages=records.where(corrupt.isNull()).drop("file", schemas.CORRUPT),
-        quarantine=records.where(corrupt.isNotNull()).select("file", schemas.CORRUPT),
+        messages=good if keep else good.drop("file"),
+        quarantine=records.where(corrupt.isNotNull()).select("file", schemas.CORRUPT, fields.alias("fields")),
     )
 
 
-def flatten(raw: DataFrame) -> DataFrame:
-    """Nested records -> the 14-column flat message table."""
+def failed_fields(line: Column, schema: T.StructType) -> Column:
+    """Paths of a JSON line's fields that have another type than the schema says, in the schema's order.
+
+    ``user.id`` names a field, ``geo.coordinates[]`` an element of a list. The list
+    is empty for a line that is no JSON at all or is cut off, and holds ``$`` for
+    JSON that is no object. Null and missing fields are right for any type, any
+    value is right for a text field.
+    """
+    value = F.try_parse_json(line)
+    found = F.array_distinct(failed(value, schema, "$"))
+    return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(found)
+
+
+def failed(value: Column, kind: T.DataType, path: str) -> Column:
+    """Paths at or below a variant value that don't fit a type."""
+    shape = F.schema_of_variant(value)
+    none = F.array().cast("array<string>")
+    below = none
+    if isinstance(kind, T.StructType):
+        fits = shape.startswith("OBJECT")
+        inner = [
+            failed(
+                F.try_variant_get(value, f"$['{field.name}']", "variant"),
+                field.dataType,
+                field.name if path == "$" else f"{path}.{field.name}",
+            )
+            for field in kind.fields
+            if not isinstance(field.dataType, T.StringType)
+        ]
+        below = F.concat(none, *inner)
+    elif isinstance(kind, T.ArrayType):
+        fits = shape.startswith("ARRAY")
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        below = F.flatten(F.transform(elements, lambda element: failed(element, kind.elementType, f"{path}[]")))
+    elif isinstance(kind, T.DoubleType):
+        text = F.try_variant_get(value, "$", "string")
+        fits = shape.isin("BIGINT", "DOUBLE", "FLOAT") | shape.startswith("DECIMAL") | text.isin(*NOT_FINITE)
+    elif isinstance(kind, T.StringType):
+        fits = F.lit(True)
+    else:
+        fits = shape == {T.LongType: "BIGINT", T.BooleanType: "BOOLEAN"}[type(kind)]
+    wrong = F.array(F.lit(path))
+    return F.when(value.isNull() | (shape == "VOID"), none).when(~fits, wrong).otherwise(F.coalesce(below, none))
+
+
+def quarantine_counts(scan: MessageScan) -> DataFrame:
+    """(file, field, count): malformed lines of each file by the field that failed.
+
+    The field is null for lines without one to name (no JSON, cut off). A line
+    with several counts for each of them.
+    """
+    named = scan.quarantine.select("file", F.explode_outer("fields").alias("field"))
+    return named.groupBy("file", "field").count()
+
+
+def flatten(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Nested records -> the 14-column flat message table, after the columns to keep."""
     created = F.col("created_at")
     return raw.select(
+        *keep,
         F.col("id").alias("tweet_id"),
         created.alias("tweet_date_full"),
         F.col("geo.coordinates").alias("tweet_pos"),

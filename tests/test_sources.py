@@ -37,6 +37,46 @@ def test_lines_are_parsed_once_and_whole(spark, tmp_path):
     assert plan_of(scan.messages.select("id", "text")).count("from_json") == 1
 
 
+WRONG = [
+    ('{"id": "1", "user": {"id": 2}}', ["id"]),
+    ('{"id": 1, "user": {"id": 2.5, "verified": "yes"}, "text": "x"}', ["user.id", "user.verified"]),
+    ('{"id": 1, "geo": {"coordinates": [1, 2.5, "x", "y"]}}', ["geo.coordinates[]"]),
+    ('{"id": 1, "geo": {"coordinates": {"lat": 1}}}', ["geo.coordinates"]),
+    ('{"id": 1, "entities": {"hashtags": [{"text": "a"}, "b"]}}', ["entities.hashtags[]"]),
+    ('{"id": 1, "user": [3], "place": "here"}', ["place", "user"]),
+    ('{"id": 123456789012345678901}', ["id"]),
+    ('"text"', ["$"]),
+    ('{"id": 1, "user": {"id"', []),
+    ("not json", []),
+]
+RIGHT = [
+    '{"id": null, "user": null, "geo": {"coordinates": [null, 1, "NaN"]}, "entities": {"hashtags": [null]}}',
+    '{"id": 1, "text": {"any": [1]}, "created_at": 5, "other": {"id": "x"}}',
+    "{}",
+]
+
+
+def test_malformed_lines_name_the_fields_that_failed(spark):
+    lines = spark.createDataFrame([(value, "f") for value in [*RIGHT, *(line for line, _ in WRONG)]], "value string, file string")
+    scan = sources.parse_messages(lines)
+    assert scan.messages.count() == len(RIGHT)
+    got = {row[schemas.CORRUPT]: row.fields for row in scan.quarantine.collect()}
+    assert got == dict(WRONG)
+
+
+def test_quarantine_is_counted_by_field(spark):
+    lines = spark.createDataFrame([(line, "f") for line, _ in WRONG], "value string, file string")
+    counts = {row.field: row["count"] for row in sources.quarantine_counts(sources.parse_messages(lines)).collect()}
+    assert counts[None] == 2 and counts["id"] == 2 and counts["user.verified"] == 1
+    none = sources.parse_messages(lines.where("false"))
+    assert sources.quarantine_counts(none).count() == 0
+
+
+def test_right_lines_are_not_parsed_for_their_fields(spark):
+    lines = spark.createDataFrame([("{}", "f")], "value string, file string")
+    assert "parse_json" not in plan_of(sources.parse_messages(lines).messages)
+
+
 def test_field_values(flat):
     row = flat.where("tweet_id = 1").first()
     assert (row.tweet_pos, row.tweet_place, row.crisis_name) == ([29.76, -95.36], "Houston, TX", "storm")
