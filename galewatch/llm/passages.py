@@ -6,7 +6,9 @@ takes: a string of 50 bytes has its place by content, the 16 bytes with the
 least hash in it, and equal strings have equal places. So
 
 1. every text is cut into runs of windows with the same place (all texts, all
-   windows); a place that one text only holds can't repeat and ends here;
+   windows). A window holds at least SIDE bytes left or right of its place, so
+   runs repeat only if they agree in the SIDE bytes on one side: a run whose
+   place, with one of its sides, no other text holds ends here;
 2. the bytes of the other runs go to the task of their place; copies of a run
    that meet on the way are settled there, so few travel;
 3. each task sorts the suffixes of its runs by the difference cover (triples of
@@ -45,6 +47,7 @@ from galewatch.llm.suffixes import MOST, suffix_order
 LENGTH = 50  # bytes
 PLACE = 16  # bytes by which a window is placed
 REACH = LENGTH - PLACE + 1  # places in a window
+SIDE = (LENGTH - PLACE + 1) // 2  # bytes that any window has on one side of its place
 
 
 @dataclass(frozen=True)
@@ -79,13 +82,14 @@ def place_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, first window, number of windows (REACH at most), and place hash of each run."""
+def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Text number, first window, number of windows (REACH at most), place hash, and hashes of both sides of each run."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     if not len(data):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    least, reach = place_hashes(data), 1
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) + (np.empty(0, np.uint16),) * 2
+    hashes = place_hashes(data)
+    least, reach = hashes.copy(), 1
     while reach < REACH:
         step = min(reach, REACH - reach)
         np.minimum(least[: len(least) - step], least[step:], out=least[: len(least) - step])
@@ -101,7 +105,51 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     since = np.arange(len(owner)) - np.repeat(begins, np.diff(np.append(begins, len(owner))))
     begins = np.flatnonzero(since % REACH == 0)  # periodic texts have long runs
     counts = np.diff(np.append(begins, len(owner)))
-    return owner[begins], at[begins], counts, place[begins]
+    starts = (ends - sizes)[owner[begins]] + at[begins]
+    left, right = side_hashes(data, places_of(hashes, least, starts, counts, place[begins]))
+    return owner[begins], at[begins], counts, place[begins], left, right
+
+
+def places_of(
+    hashes: np.ndarray, least: np.ndarray, starts: np.ndarray, counts: np.ndarray, place: np.ndarray
+) -> np.ndarray:
+    """Where the place of each run lies; -1 if its windows hold it more than once, as equal windows then may lie anywhere."""
+    # What is least in some window is no less than what is least in any window with it.
+    most = least.copy()
+    most[max(len(most) - REACH + 1, 0) :] = 0
+    reach = 1
+    while reach < REACH:
+        step = min(reach, REACH - reach)
+        most[step:] = np.maximum(most[step:], most[:-step].copy()) if step < len(most) else most[step:]
+        reach += step
+    chosen = hashes == most
+    before = np.concatenate(([0], np.cumsum(chosen)))
+    places = np.flatnonzero(chosen)
+    at, stop = before[starts], before[starts + counts + REACH - 1]
+    found, times = np.full(len(starts), -1, np.int64), np.zeros(len(starts), np.int64)
+    active = np.flatnonzero(at < stop)
+    while len(active):
+        here = places[at[active]]
+        own = hashes[here] == place[active]
+        found[active[own]] = here[own]
+        times[active] += own
+        at[active] += 1
+        active = active[at[active] < stop[active]]
+    return np.where(times == 1, found, -1)
+
+
+def side_hashes(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, from 1, of the SIDE bytes before and after each place; 0 for no place."""
+    padded = np.concatenate((np.zeros(SIDE, np.uint8), data, np.zeros(PLACE + SIDE, np.uint8)))
+    out = []
+    for shift in (0, SIDE + PLACE):
+        total = np.zeros(len(places), np.uint64)
+        for i in range(SIDE):
+            total = (total + padded[np.maximum(places, 0) + shift + i]) * np.uint64(0x9E3779B97F4A7C15)
+            total ^= total >> np.uint64(31)
+        value = (total >> np.uint64(40)) % np.uint64(65535) + np.uint64(1)
+        out.append(np.where(places < 0, 0, value).astype(np.uint16))
+    return out[0], out[1]
 
 
 def byte_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -123,25 +171,28 @@ PLACED = "bucket int, kind int, n int, packed binary"
 RUNS, CROWDED, TOLD = range(3)
 
 
-def packed(kind: int, bucket: int, place: np.ndarray, t1: np.ndarray, at: np.ndarray, count: np.ndarray) -> tuple:
-    columns = (place.astype("<u8"), t1.astype("<i8"), at.astype("<u4"), count.astype("u1"))
-    return bucket, kind, len(place), zstandard.compress(b"".join(c.tobytes() for c in columns), 1)
+WIRE = ("<u8", "<i8", "<u4", "u1", "<u2", "<u2")  # place, t1, at, count, left and right side
+
 
+def packed(kind: int, bucket: int, *columns: np.ndarray) -> tuple:
+    data = b"".join(c.astype(k).tobytes() for c, k in zip(columns, WIRE, strict=True))
+    return bucket, kind, len(columns[0]), zstandard.compress(data, 1)
 
-def unpacked(n: int, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+
+def unpacked(n: int, data: bytes) -> tuple[np.ndarray, ...]:
     data = zstandard.decompress(data)
-    ends = np.cumsum([0, 8 * n, 8 * n, 4 * n, n])
-    kinds = ("<u8", "<i8", "<u4", "u1")
-    return tuple(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], kinds, strict=False))
+    ends = np.cumsum([0, *(n * np.dtype(kind).itemsize for kind in WIRE)])
+    return tuple(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], WIRE, strict=False))
 
 
 def placed(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> Iterator[pa.RecordBatch]:
-    """All runs, by bucket of their place."""
+    """All runs, by bucket of their place. Copies within a block count once."""
     for block in byte_blocks(batches, limits.block):
-        owner, at, count, place = runs(block.column("text").to_pylist())
+        texts = dict(zip(block.column("t1").to_pylist(), block.column("text").to_pylist(), strict=True))
+        owner, at, count, place, left, right = runs(list(texts.values()))
         if not len(owner):
             continue
-        t1 = np.asarray(block.column("t1"))[owner]
+        t1 = np.array(list(texts), np.int64)[owner]
         order = np.lexsort((t1, place))
         p, t = place[order], t1[order]
         first = np.concatenate(([True], p[1:] != p[:-1]))
@@ -150,49 +201,67 @@ def placed(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> I
         crowded = np.zeros(len(place), bool)
         crowded[order] = many
         told = p[first & many]
-        bucket = (place % np.uint64(buckets)).astype(np.int64)
+        columns = (place, t1, at, count, left, right)
         rows = []
-        # A crowd is known to repeat: its runs stay together, and the others of the place are told.
-        if len(told):
-            rows.append(packed(CROWDED, int(bucket[order[many]][0]), *(c[crowded] for c in (place, t1, at, count))))
-            for b in np.unique(told % np.uint64(buckets)).tolist():
-                own = told[told % np.uint64(buckets) == b]
-                rows.append(packed(TOLD, int(b), own, *(np.zeros(len(own), np.int64),) * 3))
-        rest = np.flatnonzero(~crowded)
-        rest = rest[np.argsort(bucket[rest], kind="stable")]
-        for own in np.split(rest, np.flatnonzero(np.diff(bucket[rest])) + 1):
-            if len(own):
-                rows.append(packed(RUNS, int(bucket[own[0]]), place[own], t1[own], at[own], count[own]))
+        # A crowd is known to repeat: its runs go by text, where copies meet, and the others of the place are told.
+        for b in np.unique(told % np.uint64(buckets)).tolist():
+            own = told[told % np.uint64(buckets) == b]
+            rows.append(packed(TOLD, int(b), own, *(np.zeros(len(own), np.int64),) * 5))
+        by_place, by_text = (place % np.uint64(buckets)).astype(np.int64), (t1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        for kind, some, bucket in ((CROWDED, crowded, by_text), (RUNS, ~crowded, by_place)):
+            some = np.flatnonzero(some)
+            some = some[np.argsort(bucket[some], kind="stable")]
+            for own in np.split(some, np.flatnonzero(np.diff(bucket[some])) + 1):
+                if len(own):
+                    rows.append(packed(kind, int(bucket[own[0]]), *(c[own] for c in columns)))
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "n", "packed"])
 
 
+def sides_met(group: np.ndarray, t1: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Runs that agree in a side with another text's of their group. They come sorted by group and text."""
+    met = (np.bincount(group, weights=left == 0) > 0)[group]  # a run without one place may meet any
+    for side in (left, right):
+        key = (group.astype(np.uint64) << np.uint64(16)) | side
+        order = np.argsort(key, kind="stable")
+        k, t = key[order], t1[order]
+        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        sizes = np.diff(np.append(first, len(k)))
+        met[order] |= np.repeat(t[first] != t[first + sizes - 1], sizes)
+    return met
+
+
 REPEATING = "t1 bigint, n int, packed binary"
 
 
 def shared(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
-    """Of each text the runs whose place some other text has, from whole buckets. Places that are left have count + 64."""
+    """Of each text the runs that some other text may repeat, from whole buckets. Places that are left have count + 64."""
     parts, told, known = [], [], []
     for batch in batches:
         for kind, n, data in zip(*(batch.column(name).to_pylist() for name in ("kind", "n", "packed")), strict=True):
             columns = unpacked(n, data)
             told.append(columns[0]) if kind == TOLD else (known if kind == CROWDED else parts).append(columns)
-    found = [(p, t, at, count + np.uint8(64)) for p, t, at, count in known]
+    found = [(p, t, at, count + np.uint8(64)) for p, t, at, count, _, _ in known]
     if parts:
-        place, t1, at, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+        place, t1, at, count, left, right = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
         order = np.lexsort((t1, place))
         p, t = place[order], t1[order]
         first = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
         sizes = np.diff(np.append(first, len(p)))
         more = t[first] != t[first + sizes - 1]
-        left = sizes > limits.most_runs
+        too_many = sizes > limits.most_runs
         if told:
-            left |= np.isin(p[first], np.concatenate(told))
-        keep = np.repeat(more | left, sizes)
+            too_many |= np.isin(p[first], np.concatenate(told))
+        group = np.repeat(np.arange(len(first)), sizes)
+        keep = too_many[group]
+        able = np.flatnonzero((more & ~too_many)[group])
+        if len(able):
+            own = order[able]
+            keep[able] = sides_met(group[able], t[able], left[own], right[own])
         own = order[keep]
-        found.append((place[own], t1[own], at[own], count[own] + 64 * np.repeat(left, sizes)[keep].astype(np.uint8)))
+        found.append((place[own], t1[own], at[own], count[own] + 64 * too_many[group][keep].astype(np.uint8)))
     if not any(len(columns[0]) for columns in found):
         return
     place, t1, at, count = (np.concatenate(c) for c in zip(*found, strict=True))

@@ -54,3 +54,30 @@ def test_null_ids_and_no_rows(documents, spark):
     got = digest(passages.without_repeats(documents([(None, text), (5, text), (7, text)])))
     assert [(r[0], r[2]) for r in got] == [(5, 0), (7, len(text)), (None, 0)]
     assert passages.without_repeats(documents([(1, "x")]).where("false")).collect() == []
+
+
+def windows_of(texts):
+    """Every window's content -> (text, place, sides) of the run it is in."""
+    owner, at, count, place, left, right = passages.runs(texts)
+    out = []
+    for i, a, n, *own in zip(owner, at, count, place, left, right, strict=True):
+        out += [(texts[i][w : w + passages.LENGTH], int(i), *map(int, own)) for w in range(a, a + n)]
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", max_size=160), max_size=6), st.lists(st.integers(0, 90), max_size=6), st.integers(0, 2**32))
+def test_equal_windows_agree_in_a_side(texts, cuts, seed):
+    random = np.random.default_rng(seed)
+    common = "".join(random.choice(list("abcdefgh"), 140))
+    texts = [t.encode() for t in texts] + [("x" * cut + common[cut:]).encode() for cut in cuts] + [common[:70].encode()]
+    texts += [(common[30:100] * 2).encode()]
+    windows = windows_of(texts)
+    assert len(windows) == sum(max(len(t) - passages.LENGTH + 1, 0) for t in texts)
+    by_content = {}
+    for content, _, place, left, right in windows:
+        by_content.setdefault(content, []).append((place, left, right))
+    for runs in by_content.values():
+        assert len({place for place, _, _ in runs}) == 1
+        for _, left, right in runs:
+            assert all(0 in (left, other_left) or left == other_left or right == other_right for _, other_left, other_right in runs)
