@@ -87,7 +87,7 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     if not len(data):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) + (np.empty(0, np.uint16),) * 2
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) + (np.empty(0, np.uint8),) * 2
     hashes = place_hashes(data)
     least, reach = hashes.copy(), 1
     while reach < REACH:
@@ -147,8 +147,8 @@ def side_hashes(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nd
         for i in range(SIDE):
             total = (total + padded[np.maximum(places, 0) + shift + i]) * np.uint64(0x9E3779B97F4A7C15)
             total ^= total >> np.uint64(31)
-        value = (total >> np.uint64(40)) % np.uint64(65535) + np.uint64(1)
-        out.append(np.where(places < 0, 0, value).astype(np.uint16))
+        value = (total >> np.uint64(40)) % np.uint64(255) + np.uint64(1)
+        out.append(np.where(places < 0, 0, value).astype(np.uint8))
     return out[0], out[1]
 
 
@@ -171,7 +171,7 @@ PLACED = "bucket int, kind int, n int, packed binary"
 RUNS, CROWDED, TOLD = range(3)
 
 
-WIRE = ("<u8", "<i8", "<u4", "u1", "<u2", "<u2")  # place, t1, at, count, left and right side
+WIRE = ("<u8", "<i8", "<u4", "u1", "u1", "u1")  # place, t1, at, count, left and right side
 
 
 def packed(kind: int, bucket: int, *columns: np.ndarray) -> tuple:
@@ -223,7 +223,7 @@ def sides_met(group: np.ndarray, t1: np.ndarray, left: np.ndarray, right: np.nda
     """Runs that agree in a side with another text's of their group. They come sorted by group and text."""
     met = (np.bincount(group, weights=left == 0) > 0)[group]  # a run without one place may meet any
     for side in (left, right):
-        key = (group.astype(np.uint64) << np.uint64(16)) | side
+        key = (group.astype(np.uint64) << np.uint64(8)) | side
         order = np.argsort(key, kind="stable")
         k, t = key[order], t1[order]
         first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
