@@ -8,7 +8,9 @@ and equal parts of a block are aligned once.
 Most groups are one token of A and the token of B with the same bytes. An array
 from each id of A to that id of B says so, and such links are counted in vectors
 as long as A's vocabulary, one a task. Only the links of other groups become id
-pairs that are exchanged, a row for each pair and block of texts. The counts then
+pairs that are exchanged, a row for each pair and batch of texts. The stored table
+holds each document's links as compressed bytes, since batches of eight bytes a
+link are too much for a task's JVM and Python together. The counts then
 meet the links where these were read: vectors of vocabulary length always, the
 other pairs as well while they are at most MOST_SENT; if there are more, these
 links are joined with their counts by pair, and only their sums go back to the
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +40,7 @@ from galewatch.llm.shared import landed, no_collector
 SPACE = "▁"  # how B's pieces write a space
 MOST_SENT = 1_000_000  # pairs of irregular groups, 16 bytes each, that are sent to all tasks
 MOST_KEPT = 400_000  # parts that a Python worker remembers
+MOST_LINKS = 500_000  # links that are counted or summed at once; a batch of long texts has millions
 PAIR = 1 << 32  # links from here on are (A id + 1) << 32 | B id; below, an A id with the B id of the same bytes
 
 
@@ -178,18 +182,20 @@ def read_files(a_path: str, b_path: str) -> tuple[str, bytes]:
         return a.read(), b.read()
 
 
-def aligned(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """doc_id, row, n_a, n_b, n_groups, groups (``a1,a2|b1;a3|b2,b3``), links (see PAIR): a row for each document.
+def aligned(documents: DataFrame, a_path: str, b_path: str, packed: bool = False) -> DataFrame:
+    """doc_id, row, n_a, n_b, n_groups, groups (``a1,a2|b1;a3|b2,b3``), links (see PAIR; one a group): a row for each document.
 
     ``row`` tells rows apart whose ids are null or repeat. A's file is a
     byte-level BPE of the tokenizers library, B's a sentencepiece model that
     marks words by a space before; both are fixed vocabularies, read by the
-    driver and sent to the tasks.
+    driver and sent to the tasks. ``packed``: links as compressed bytes, as
+    opened() takes them.
     """
     sent = documents.sparkSession.sparkContext.broadcast(read_files(a_path, b_path))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, row = worker_aligner(sent), TaskContext.get().partitionId() << 40
+        press = zstandard.ZstdCompressor(level=1)
         names = ["doc_id", "row", "n_a", "n_b", "n_groups", "groups", "links"]
         with no_collector():
             for batch in batches:
@@ -197,36 +203,80 @@ def aligned(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 for block in blocks(texts):
                     own = batch.slice(block.start, block.stop - block.start)
                     n_a, n_b, n_groups, groups, links = zip(*aligner.rows(texts[block]), strict=True)
-                    ends = np.cumsum([0, *[len(x) // 8 for x in links]])
-                    flat = pa.array(np.frombuffer(b"".join(links), np.int64))
+                    if packed:
+                        listed = pa.array([press.compress(x) for x in links], pa.binary())
+                    else:
+                        ends = pa.array(np.cumsum([0, *[len(x) // 8 for x in links]]), pa.int32())
+                        listed = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(links), np.int64)))
                     rows = np.arange(row, row + len(n_a))
                     row += len(n_a)
                     columns = [own.column("doc_id"), pa.array(rows), *[pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)]]
-                    columns += [pa.array(groups), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(groups), listed], names)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    columns = "row bigint, n_a bigint, n_b bigint, n_groups bigint, groups string, links array<bigint>"
+    columns = f"row bigint, n_a bigint, n_b bigint, n_groups bigint, groups string, links {'binary' if packed else 'array<bigint>'}"
     return documents.select("doc_id", "text").mapInArrow(of, f"doc_id {kind}, {columns}")
 
 
-def counted(links: DataFrame, a_size: int) -> DataFrame:
-    """link, n: how often each link occurs. ``links``: a column of arrays."""
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows with at most MOST_LINKS links together (a row with more comes alone), all their links, and where each row's begin and end."""
+    aligners.clear()  # a worker that has aligned needs its parts no more
+    expand = zstandard.ZstdDecompressor()
+    for batch in batches:
+        ends = np.concatenate(([0], np.cumsum(batch.column("n_groups").to_numpy())))
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + MOST_LINKS, "right")) - 1)
+            rows = batch.slice(start, stop - start)
+            links = b"".join([expand.decompress(x) for x in rows.column("links").to_pylist()])
+            yield rows, np.frombuffer(links, np.int64), ends[start : stop + 1] - ends[start]
+            start = stop
+
+
+def totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys, and the sum of each one's counts."""
+    found, which = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.zeros(len(found), np.int64)
+    np.add.at(n, which, np.concatenate(counts))
+    return found, n
+
+
+def counted(rows: DataFrame, a_size: int) -> DataFrame:
+    """link, n: how often each link occurs in packed rows."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regular = np.zeros(a_size, np.int64)
         for batch in batches:
-            flat = batch.column("links").flatten().to_numpy(zero_copy_only=False)
-            regular += np.bincount(flat[flat < PAIR], minlength=a_size)
-            pairs, n = np.unique(flat[flat >= PAIR], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], ["link", "n"])
+            keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for _, links, _ in opened(iter([batch])):
+                regular += np.bincount(links[links < PAIR], minlength=a_size)
+                pairs, n = np.unique(links[links >= PAIR], return_counts=True)
+                keys.append(pairs)
+                counts.append(n)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, totals(keys, counts))], ["link", "n"])
         some = np.flatnonzero(regular)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(regular[some])], ["link", "n"])
 
-    tallies = links.select("links").mapInArrow(of, "link bigint, n bigint")
+    tallies = rows.select("n_groups", "links").mapInArrow(of, "link bigint, n bigint")
     return tallies.groupBy("link").agg(F.sum("n").alias("n"))
 
 
+def irregular(rows: DataFrame) -> DataFrame:
+    """row, link, times: the different links of other groups that each of the packed rows has."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, links, ends in opened(batches):
+            row = np.repeat(part.column("row").to_numpy(), np.diff(ends))[links >= PAIR]
+            pairs = links[links >= PAIR]
+            order = np.lexsort((pairs, row))
+            row, pairs = row[order], pairs[order]
+            first = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(pairs, prepend=-1) != 0))
+            times = np.diff(np.append(first, len(row)))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (row[first], pairs[first], times))], ["row", "link", "times"])
+
+    return rows.select("row", "n_groups", "links").mapInArrow(of, "row bigint, link bigint, times bigint")
+
+
 def vector(rows, size: int) -> np.ndarray:
     """Numbers by id; ``rows`` is as long as a vocabulary at most."""
     out = np.zeros(size, np.int64)
@@ -240,7 +290,7 @@ def b_id(link) -> F.Column:
 
 
 def judged(aligned_rows: DataFrame, same: np.ndarray, b_size: int, most_sent: int = MOST_SENT) -> DataFrame:
-    """``aligned_rows`` (a stored table) with n_best and count_sum: links whose count is the highest of their B id, and the sum of counts."""
+    """``aligned_rows`` (a stored table, packed) with n_best and count_sum: links whose count is the highest of their B id, and the sum of counts."""
     spark = aligned_rows.sparkSession
     counts = landed(counted(aligned_rows, len(same)), "links")
     pairs = counts.where(F.col("link") >= PAIR)
@@ -251,13 +301,12 @@ def judged(aligned_rows: DataFrame, same: np.ndarray, b_size: int, most_sent: in
     if pairs.count() <= most_sent:
         table = pairs.orderBy("link").toArrow()
         sent = table.column("link").to_numpy(), table.column("n").to_numpy()
-        return with_sums(aligned_rows, spark, same, regular, best, sent).drop("row", "links")
+        return with_sums(aligned_rows, spark, same, regular, best, sent).drop("row")
     none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    near = with_sums(aligned_rows, spark, same, regular, best, none).drop("links")
+    near = with_sums(aligned_rows, spark, same, regular, best, none)
     highest = landed(spark.createDataFrame(pa.table({"b": np.arange(b_size), "highest": best})), "highest")
     rated = pairs.withColumn("b", b_id(F.col("link"))).join(highest, "b").select("link", "n", "highest")
-    odd = aligned_rows.select("row", F.explode(F.filter("links", lambda x: x >= PAIR)).alias("link"))
-    sums = odd.groupBy("row", "link").agg(F.count(F.lit(1)).alias("times")).join(rated, "link").groupBy("row")
+    sums = irregular(aligned_rows).join(rated, "link").groupBy("row")
     sums = sums.agg(
         F.sum(F.when(F.col("n") == F.col("highest"), F.col("times")).otherwise(0)).alias("more_best"),
         F.sum(F.col("times") * F.col("n")).alias("more_sum"),
@@ -270,14 +319,13 @@ def judged(aligned_rows: DataFrame, same: np.ndarray, b_size: int, most_sent: in
 
 
 def with_sums(rows: DataFrame, spark: SparkSession, same: np.ndarray, regular: np.ndarray, best: np.ndarray, pairs: tuple) -> DataFrame:
-    """Adds n_best and count_sum over regular links and those among ``pairs`` (links in ascending order, counts)."""
+    """Adds n_best and count_sum over regular links and those among ``pairs`` (links in ascending order, counts); without links."""
     sent = spark.sparkContext.broadcast((regular, best, regular == best[same], *pairs))
+    kept = [name for name in rows.columns if name != "links"]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regular, best, is_best, links, n = sent.value
-        for batch in batches:
-            column = batch.column("links")
-            flat = column.flatten().to_numpy(zero_copy_only=False)
+        for part, flat, ends in opened(batches):
             odd = flat >= PAIR
             count, top = np.zeros(len(flat), np.int64), np.zeros(len(flat), bool)
             count[~odd], top[~odd] = regular[flat[~odd]], is_best[flat[~odd]]
@@ -285,19 +333,18 @@ def with_sums(rows: DataFrame, spark: SparkSession, same: np.ndarray, regular: n
                 at = np.searchsorted(links, flat[odd])
                 count[odd] = n[at]
                 top[odd] = n[at] == best[flat[odd] & (PAIR - 1)]
-            ends = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
             sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[ends]) for x in (top.astype(np.int64), count)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, sums)], [*batch.schema.names, "n_best", "count_sum"])
+            yield pa.RecordBatch.from_arrays([*(part.column(name) for name in kept), *map(pa.array, sums)], [*kept, "n_best", "count_sum"])
 
-    columns = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes if name != "links")
     return rows.mapInArrow(of, f"{columns}, n_best bigint, count_sum bigint")
 
 
 def cross_counts(documents: DataFrame, a_path: str, b_path: str, most_sent: int = MOST_SENT) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 (empty without tokens): a row for each document."""
-    rows = aligned(documents, a_path, b_path)
+    rows = aligned(documents, a_path, b_path, packed=True)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     rows = landed(rows.withColumn("groups_sha256", digest).drop("groups"), "aligned")
     aligner = Aligner(*read_files(a_path, b_path))
-    out = judged(rows.withColumn("n_links", F.size("links").cast("long")), np.array(aligner.same), len(aligner.b_bytes), most_sent)
+    out = judged(rows.withColumn("n_links", F.col("n_groups")), np.array(aligner.same), len(aligner.b_bytes), most_sent)
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

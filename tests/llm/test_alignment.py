@@ -87,6 +87,21 @@ def test_groups_are_given(documents):
     assert a == Tokenizer.from_file(A).encode(" hello worlds, it's").ids
 
 
+def test_stored_links_are_small_and_opened_in_portions(documents, monkeypatch):
+    frame = documents(list(enumerate(ODD)))
+    listed = {r.doc_id: r.links for r in alignment.aligned(frame, A, B).collect()}
+    stored = alignment.aligned(frame, A, B, packed=True).toArrow()
+    monkeypatch.setattr(alignment, "MOST_LINKS", 10)
+    found = {}
+    for rows, links, ends in alignment.opened(iter(stored.to_batches())):
+        assert len(links) <= 10 or rows.num_rows == 1
+        bounds = zip(rows.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True)
+        found |= {doc_id: links[a:b].tolist() for doc_id, a, b in bounds}
+    assert found == listed
+    long = max(stored.to_pylist(), key=lambda row: row["n_groups"])
+    assert len(long["links"]) < 2 * long["n_groups"]
+
+
 def test_regular_links_have_the_same_bytes():
     aligner = alignment.Aligner(*alignment.read_files(A, B))
     pairs = [(i, j) for i, j in enumerate(aligner.same) if j >= 0]
