@@ -9,7 +9,9 @@ least hash in it, and equal strings have equal places. So
    windows). A window holds at least SIDE bytes left or right of its place, so
    runs repeat only if they agree in the SIDE bytes on one side: a run whose
    place, with one of its sides, no other text holds ends here;
-2. the bytes of the other runs go to the task of their place; copies of a run
+   the other runs meet again by text: each task packs its runs for a bucket of
+   texts into one row, so that not each run or text of each task is a row;
+2. the bytes of these runs go to the task of their place; copies of a run
    that meet on the way are settled there, so few travel;
 3. each task sorts the suffixes of its runs by the difference cover (triples of
    sampled suffixes, recursion on their names, merge with the others) and
@@ -175,14 +177,16 @@ WIRE = ("<u8", "<i8", "<u4", "u1", "u1", "u1")  # place, t1, at, count, left and
 
 
 def packed(kind: int, bucket: int, *columns: np.ndarray) -> tuple:
-    data = b"".join(c.astype(k).tobytes() for c, k in zip(columns, WIRE, strict=True))
+    """Columns are WIRE's, or the first of them."""
+    data = b"".join(c.astype(k).tobytes() for c, k in zip(columns, WIRE, strict=False))
     return bucket, kind, len(columns[0]), zstandard.compress(data, 1)
 
 
-def unpacked(n: int, data: bytes) -> tuple[np.ndarray, ...]:
+def unpacked(n: int, data: bytes, columns: int = len(WIRE)) -> tuple[np.ndarray, ...]:
     data = zstandard.decompress(data)
-    ends = np.cumsum([0, *(n * np.dtype(kind).itemsize for kind in WIRE)])
-    return tuple(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], WIRE, strict=False))
+    kinds = WIRE[:columns]
+    ends = np.cumsum([0, *(n * np.dtype(kind).itemsize for kind in kinds)])
+    return tuple(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], kinds, strict=False))
 
 
 def placed(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -232,11 +236,15 @@ def sides_met(group: np.ndarray, t1: np.ndarray, left: np.ndarray, right: np.nda
     return met
 
 
-REPEATING = "t1 bigint, n int, packed binary"
+BY_TEXT = "bucket int, n int, packed binary"  # place, t1, at, count
+REPEATING = "t1 bigint, n int, packed binary"  # place, at, count
 
 
-def shared(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.RecordBatch]:
-    """Of each text the runs that some other text may repeat, from whole buckets. Places that are left have count + 64."""
+def shared(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The runs that some other text may repeat, from whole buckets of places; a row for each bucket of texts.
+
+    Places that are left have count + 64.
+    """
     parts, told, known = [], [], []
     for batch in batches:
         for kind, n, data in zip(*(batch.column(name).to_pylist() for name in ("kind", "n", "packed")), strict=True):
@@ -265,28 +273,51 @@ def shared(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Rec
     if not any(len(columns[0]) for columns in found):
         return
     place, t1, at, count = (np.concatenate(c) for c in zip(*found, strict=True))
-    order = np.lexsort((at, t1))
-    place, t1, at, count = place[order], t1[order], at[order], count[order]
+    bucket = (t1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((at, t1, bucket))
+    place, t1, at, count, bucket = place[order], t1[order], at[order], count[order], bucket[order]
     new = np.concatenate(([True], (t1[1:] != t1[:-1]) | (at[1:] != at[:-1])))  # copies of a text have the same runs
-    place, t1, at, count = place[new], t1[new], at[new], count[new]
+    place, t1, at, count, bucket = place[new], t1[new], at[new], count[new], bucket[new]
     rows = []
-    for own in np.split(np.arange(len(t1)), np.flatnonzero(np.diff(t1)) + 1):
-        if len(own):
-            data = place[own].tobytes() + at[own].astype("<u4").tobytes() + count[own].tobytes()
-            rows.append((int(t1[own[0]]), len(own), data))
-    kinds = (pa.int64(), pa.int32(), pa.binary())
-    for some in range(0, len(rows), 20_000):
-        columns = zip(*rows[some : some + 20_000], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["t1", "n", "packed"])
+    for own in np.split(np.arange(len(t1)), np.flatnonzero(np.diff(bucket)) + 1):
+        number, _, n, data = packed(RUNS, int(bucket[own[0]]), place[own], t1[own], at[own], count[own])
+        rows.append((number, n, data))
+    kinds = (pa.int32(), pa.int32(), pa.binary())
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    yield pa.RecordBatch.from_arrays(columns, ["bucket", "n", "packed"])
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text with all its runs, from whole buckets of texts."""
+    parts = []
+    for batch in batches:
+        parts += [unpacked(n, data, 4) for n, data in zip(*(batch.column(name).to_pylist() for name in ("n", "packed")), strict=True)]
+    if not parts:
+        return
+    place, t1, at, count = (np.concatenate(c) for c in zip(*parts, strict=True))
+    del parts
+    order = np.lexsort((count, at, t1))
+    place, t1, at, count = place[order], t1[order], at[order], count[order]
+    # Copies of a text may come from the task of a place and, crowded in a block, from that of the text.
+    new = np.concatenate(([True], (t1[1:] != t1[:-1]) | (at[1:] != at[:-1]) | (count[1:] != count[:-1])))
+    place, t1, at, count = place[new], t1[new], at[new], count[new]
+    begins = np.flatnonzero(np.concatenate(([True], t1[1:] != t1[:-1])))
+    ends = np.append(begins[1:], len(t1))
+    for some in range(0, len(begins), 20_000):
+        rows = []
+        for a, b in zip(begins[some : some + 20_000].tolist(), ends[some : some + 20_000].tolist(), strict=True):
+            data = place[a:b].tobytes() + at[a:b].astype("<u4").tobytes() + count[a:b].tobytes()
+            rows.append((int(t1[a]), b - a, data))
+        kinds = (pa.int64(), pa.int32(), pa.binary())
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, ["t1", "n", "packed"])
 
 
-def runs_of(repeating: list[dict]) -> Iterator[tuple[int, int, int]]:
+def runs_of(n: int, data: bytes) -> Iterator[tuple[int, int, int]]:
     """Place, first window and count (64 more: the place is left) of a text's runs."""
-    for item in repeating:
-        n, data = item["n"], item["packed"]
-        place = np.frombuffer(data[: 8 * n], "<u8").view("<i8").tolist()
-        at = np.frombuffer(data[8 * n : 12 * n], "<u4").tolist()
-        yield from zip(place, at, data[12 * n :], strict=True)
+    place = np.frombuffer(data[: 8 * n], "<u8").view("<i8").tolist()
+    at = np.frombuffer(data[8 * n : 12 * n], "<u4").tolist()
+    return zip(place, at, data[12 * n :], strict=True)
 
 
 def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,9 +345,9 @@ def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         texts = unpressed(batch.column("text"))
-        own = [batch.column(name).to_pylist() for name in ("t1", "owner", "repeating")]
-        for text, t1, owner, repeating in zip(texts, *own, strict=True):
-            for place, at, count in runs_of(repeating):
+        own = [batch.column(name).to_pylist() for name in ("t1", "owner", "n", "packed")]
+        for text, t1, owner, n, data in zip(texts, *own, strict=True):
+            for place, at, count in runs_of(n, data):
                 if count < 64:
                     rows.append((place, text[at : at + count + LENGTH - 1], t1, owner, at))
                     continue
@@ -474,15 +505,15 @@ def without_repeats(documents: DataFrame, limits: Limits = Limits()) -> DataFram
     whole = owners.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), whole // limits.task)
     found = keyed.select("t1", "text").mapInArrow(partial(placed, limits=limits, buckets=4 * tasks), PLACED)
-    found = found.repartition(tasks, "bucket").mapInArrow(partial(shared, limits=limits), REPEATING)
-    repeating = found.groupBy("t1").agg(F.collect_list(F.struct("n", "packed")).alias("repeating"))
-    repeating = landed(repeating, "repeating").join(owners, "t1").select("t1", "t2", F.col("owner").alias("least"), "repeating")
+    found = found.repartition(tasks, "bucket").mapInArrow(partial(shared, limits=limits, buckets=4 * tasks), BY_TEXT)
+    repeating = landed(found.repartition(tasks, "bucket").mapInArrow(gathered, REPEATING), "repeating")
+    repeating = repeating.join(owners, "t1").select("t1", "t2", F.col("owner").alias("least"), "n", "packed")
     kinds = "doc_id bigint, text binary, t1 bigint, t2 bigint"
     small = keyed.mapInArrow(pressed, kinds)
     # The condition is no join key, so that both joins read one exchange of the texts.
     mine = F.coalesce(F.col("doc_id") == F.col("least"), F.lit(False))
     texts = small.join(repeating, ["t1", "t2"]).where(mine)
-    texts = texts.select("text", "t1", F.col("doc_id").alias("owner"), "repeating")
+    texts = texts.select("text", "t1", F.col("doc_id").alias("owner"), "n", "packed")
     parts = texts.mapInArrow(sent, SENT).repartition("route").sortWithinPartitions("route", "part", "owner")
     spans = parts.mapInArrow(covered, COVERED).groupBy("t1", "owner")
     spans = spans.agg(F.collect_list(F.struct("start", "stop")).alias("spans"))

@@ -1,6 +1,7 @@
 """Repeated passages against a brute-force version, and the suffix order against sorted suffixes."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,6 +57,32 @@ def test_null_ids_and_no_rows(documents, spark):
     assert passages.without_repeats(documents([(1, "x")]).where("false")).collect() == []
 
 
+def test_tasks_send_a_row_a_bucket_of_texts():
+    """Not a row for each text of each task: those grow with texts times tasks."""
+    random = np.random.default_rng(5)
+    common = "".join(random.choice(list("abcdefgh"), 2_000)).encode()
+    texts = {t1: common + b"%d" % t1 for t1 in range(-100, 200)}
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()), pa.binary())], ["t1", "text"])
+    limits, buckets = passages.Limits(crowd=400), 4
+    sent = [row for part in passages.placed(iter([batch]), limits, 8) for row in part.to_pylist()]
+    found = []
+    for bucket in range(8):
+        rows = pa.RecordBatch.from_pylist([row for row in sent if row["bucket"] == bucket])
+        found += [row for part in passages.shared(iter([rows]), limits, buckets) for row in part.to_pylist()]
+    assert len(found) <= 8 * buckets
+    whole = {}
+    for bucket in range(buckets):
+        rows = pa.RecordBatch.from_pylist([row for row in found if row["bucket"] == bucket])
+        for part in passages.gathered(iter([rows, rows])):
+            for row in part.to_pylist():
+                assert row["t1"] not in whole
+                whole[row["t1"]] = list(passages.runs_of(row["n"], row["packed"]))
+    assert whole.keys() == texts.keys()
+    for runs in whole.values():
+        windows = {w for _, at, count in runs for w in range(at, at + count)}
+        assert len(windows) == sum(count for _, _, count in runs) >= 1_900
+
+
 def windows_of(texts):
     """Every window's content -> (text, place, sides) of the run it is in."""
     owner, at, count, place, left, right = passages.runs(texts)
