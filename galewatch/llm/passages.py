@@ -10,7 +10,8 @@ least hash in it, and equal strings have equal places. So
    runs repeat only if they agree in the SIDE bytes on one side: a run whose
    place, with one of its sides, no other text holds ends here;
    the other runs meet again by text: each task packs its runs for a bucket of
-   texts into one row, so that not each run or text of each task is a row;
+   places, then of texts, into one row, so that not each run, block or text of
+   each task is a row;
 2. the bytes of these runs go to the task of their place; copies of a run
    that meet on the way are settled there, so few travel;
 3. each task sorts the suffixes of its runs by the difference cover (triples of
@@ -20,9 +21,12 @@ least hash in it, and equal strings have equal places. So
 4. what is covered goes back to the texts, as spans.
 
 Copies of a whole text are one text, owned by the least id; the others are
-removed whole. A place that too many runs share is left: its windows go each to
-the task of their own hash, so no group grows with the corpus but that of one
-and the same string, and those are settled on the way.
+removed whole. A place that too many runs share, as any frequent one does in a
+large corpus, is parted: the windows of its runs go with the SIDE bytes that they
+hold whole beside the place, and only where another text has those. A place that
+a block is crowded with, or that has too many runs with the same side, is left:
+its windows go each to the task of their own hash, so no group grows with the
+corpus but that of one and the same string, and those are settled on the way.
 
 Null and empty texts, and those under 50 bytes, lose nothing. Rows that repeat an
 id and text get a row each; neither is smaller. A null id is no smaller document
@@ -43,7 +47,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galewatch.llm.shared import landed
+from galewatch.llm.shared import landed, no_collector
 from galewatch.llm.suffixes import MOST, suffix_order
 
 LENGTH = 50  # bytes
@@ -57,8 +61,12 @@ class Limits:
     """What is worked on together. None of them changes the result."""
 
     block: int = 4_000_000  # bytes of text
+    piece: int = 100_000  # bytes of text whose windows are placed at once, so that they stay in the CPU's cache
     crowd: int = 40  # texts of a block with the same place; beyond, the place is left
-    most_runs: int = 5_000  # runs with the same place, over the corpus; beyond, it is left
+    most_runs: int = 5_000  # runs with the same place, over the corpus; beyond, it is parted
+    most_sides: int = 20_000  # runs with the same place and side; beyond, the place is left
+    most_loose: int = 400  # runs of a parted place that hold it twice; beyond, it is left
+    held: int = 2_000_000  # runs that a task packs together
     task: int = 64_000_000  # bytes of text whose runs one task compares
 
 
@@ -89,7 +97,7 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     sizes = np.array([len(t) for t in texts], np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     if not len(data):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) + (np.empty(0, np.uint8),) * 2
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) + (np.empty(0, np.uint16),) * 2
     hashes = place_hashes(data)
     least, reach = hashes.copy(), 1
     while reach < REACH:
@@ -112,6 +120,19 @@ def runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return owner[begins], at[begins], counts, place[begins], left, right
 
 
+def runs_by_piece(texts: list[bytes], most: int) -> tuple[np.ndarray, ...]:
+    """As runs(), for about ``most`` bytes of text at a time."""
+    out, start, held = [], 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > most:
+            out.append((start, runs(texts[start:i])))
+            start, held = i, 0
+        held += len(text)
+    out.append((start, runs(texts[start:])))
+    owner = np.concatenate([own[0] + start for start, own in out])
+    return owner, *(np.concatenate(c) for c in zip(*(own[1:] for _, own in out), strict=True))
+
+
 def places_of(
     hashes: np.ndarray, least: np.ndarray, starts: np.ndarray, counts: np.ndarray, place: np.ndarray
 ) -> np.ndarray:
@@ -149,8 +170,8 @@ def side_hashes(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nd
         for i in range(SIDE):
             total = (total + padded[np.maximum(places, 0) + shift + i]) * np.uint64(0x9E3779B97F4A7C15)
             total ^= total >> np.uint64(31)
-        value = (total >> np.uint64(40)) % np.uint64(255) + np.uint64(1)
-        out.append(np.where(places < 0, 0, value).astype(np.uint8))
+        value = (total >> np.uint64(40)) % np.uint64(65535) + np.uint64(1)
+        out.append(np.where(places < 0, 0, value).astype(np.uint16))
     return out[0], out[1]
 
 
@@ -168,34 +189,54 @@ def byte_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
             yield batch.slice(start)
 
 
-# A block's runs for a bucket of places travel as one row. Kinds: runs; runs of crowded places; crowded places alone.
+# A task's runs for a bucket of places travel as one row. Kinds: runs; runs of crowded places; crowded places alone.
 PLACED = "bucket int, kind int, n int, packed binary"
 RUNS, CROWDED, TOLD = range(3)
 
+NAMED = 6  # bytes of a place's hash that travel; places that agree in them are taken for one, which costs work only
+WIRE = ("<u8", "<i8", "<u4", "u1", "<u2", "<u2")  # place, t1, at, count, left and right side
+
 
-WIRE = ("<u8", "<i8", "<u4", "u1", "u1", "u1")  # place, t1, at, count, left and right side
+def packed(press: zstandard.ZstdCompressor, *columns: np.ndarray) -> tuple[int, bytes]:
+    """Number and bytes of runs. Columns are WIRE's, or the first of them."""
+    place = np.ascontiguousarray(columns[0], "<u8").view(np.uint8).reshape(-1, 8)[:, :NAMED]
+    data = place.tobytes() + b"".join(c.astype(k).tobytes() for c, k in zip(columns[1:], WIRE[1:], strict=False))
+    return len(place), press.compress(data)
 
 
-def packed(kind: int, bucket: int, *columns: np.ndarray) -> tuple:
-    """Columns are WIRE's, or the first of them."""
-    data = b"".join(c.astype(k).tobytes() for c, k in zip(columns, WIRE, strict=False))
-    return bucket, kind, len(columns[0]), zstandard.compress(data, 1)
+def unpacked(expand: zstandard.ZstdDecompressor, n: int, data: bytes, columns: int = len(WIRE)) -> tuple[np.ndarray, ...]:
+    data = expand.decompress(data)
+    place = np.zeros((n, 8), np.uint8)
+    place[:, :NAMED] = np.frombuffer(data, np.uint8, n * NAMED).reshape(n, NAMED)
+    kinds = WIRE[1:columns]
+    ends = np.cumsum([n * NAMED, *(n * np.dtype(kind).itemsize for kind in kinds)])
+    return (place.view("<u8").ravel(), *(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], kinds, strict=False)))
 
 
-def unpacked(n: int, data: bytes, columns: int = len(WIRE)) -> tuple[np.ndarray, ...]:
-    data = zstandard.decompress(data)
-    kinds = WIRE[:columns]
-    ends = np.cumsum([0, *(n * np.dtype(kind).itemsize for kind in kinds)])
-    return tuple(np.frombuffer(data[a:b], k) for a, b, k in zip(ends, ends[1:], kinds, strict=False))
+def by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """Each bucket with its part of the columns."""
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    ends = [*np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
+    for a, b in zip([0, *ends], ends, strict=False):
+        if a < b:
+            yield int(bucket[a]), *(c[a:b] for c in columns)
+
+
+def text_bucket(t1: np.ndarray, buckets: int) -> np.ndarray:
+    return (t1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
 
 
 def placed(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> Iterator[pa.RecordBatch]:
-    """All runs, by bucket of their place. Copies within a block count once."""
+    """All runs, by bucket of their place; a row for each bucket of many blocks. Copies within a block count once."""
+    parts: list[tuple] = []
+    told: list[np.ndarray] = []
     for block in byte_blocks(batches, limits.block):
         texts = dict(zip(block.column("t1").to_pylist(), block.column("text").to_pylist(), strict=True))
-        owner, at, count, place, left, right = runs(list(texts.values()))
+        owner, at, count, place, left, right = runs_by_piece(list(texts.values()), limits.piece)
         if not len(owner):
             continue
+        place &= np.uint64((1 << 8 * NAMED) - 1)
         t1 = np.array(list(texts), np.int64)[owner]
         order = np.lexsort((t1, place))
         p, t = place[order], t1[order]
@@ -204,38 +245,73 @@ def placed(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> I
         many = (np.bincount(np.cumsum(first) - 1, weights=other) > limits.crowd)[np.cumsum(first) - 1]
         crowded = np.zeros(len(place), bool)
         crowded[order] = many
-        told = p[first & many]
-        columns = (place, t1, at, count, left, right)
-        rows = []
-        # A crowd is known to repeat: its runs go by text, where copies meet, and the others of the place are told.
-        for b in np.unique(told % np.uint64(buckets)).tolist():
-            own = told[told % np.uint64(buckets) == b]
-            rows.append(packed(TOLD, int(b), own, *(np.zeros(len(own), np.int64),) * 5))
-        by_place, by_text = (place % np.uint64(buckets)).astype(np.int64), (t1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-        for kind, some, bucket in ((CROWDED, crowded, by_text), (RUNS, ~crowded, by_place)):
-            some = np.flatnonzero(some)
-            some = some[np.argsort(bucket[some], kind="stable")]
-            for own in np.split(some, np.flatnonzero(np.diff(bucket[some])) + 1):
-                if len(own):
-                    rows.append(packed(kind, int(bucket[own[0]]), *(c[own] for c in columns)))
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "n", "packed"])
+        told.append(p[first & many])
+        parts.append((place, t1, at.astype(np.uint32), count.astype(np.uint8), left, right, crowded))
+        if sum(len(columns[0]) for columns in parts) >= limits.held:
+            yield placed_rows(parts, told, buckets)
+            parts, told = [], []
+    if parts:
+        yield placed_rows(parts, told, buckets)
+
+
+def placed_rows(parts: list[tuple], told: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    *columns, crowded = (np.concatenate(c) for c in zip(*parts, strict=True))
+    parts.clear()
+    press, rows = zstandard.ZstdCompressor(level=1), []
+    # A crowd is known to repeat: its runs go by text, where copies meet, and the others of the place are told.
+    places = np.unique(np.concatenate(told))
+    for number, *own in by_bucket((places % np.uint64(buckets)).astype(np.int64), places):
+        rows.append((number, TOLD, *packed(press, *own)))
+    for kind, some in ((CROWDED, crowded), (RUNS, ~crowded)):
+        place, t1, *others = (c[some] for c in columns)
+        bucket = text_bucket(t1, buckets) if kind == CROWDED else (place % np.uint64(buckets)).astype(np.int64)
+        for number, *own in by_bucket(bucket, place, t1, *others):
+            rows.append((number, kind, *packed(press, *own)))
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "n", "packed"])
+
+
+def side_groups(group: np.ndarray, t1: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether another text's run of the group has the side, and how many runs have. They come sorted by group and text."""
+    key = (group.astype(np.uint64) << np.uint64(16)) | side
+    order = np.argsort(key, kind="stable")
+    k, t = key[order], t1[order]
+    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    sizes = np.diff(np.append(first, len(k)))
+    met, many = np.empty(len(k), bool), np.empty(len(k), np.int64)
+    met[order] = np.repeat(t[first] != t[first + sizes - 1], sizes)
+    many[order] = np.repeat(sizes, sizes)
+    return met, many
 
 
 def sides_met(group: np.ndarray, t1: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Runs that agree in a side with another text's of their group. They come sorted by group and text."""
     met = (np.bincount(group, weights=left == 0) > 0)[group]  # a run without one place may meet any
     for side in (left, right):
-        key = (group.astype(np.uint64) << np.uint64(8)) | side
-        order = np.argsort(key, kind="stable")
-        k, t = key[order], t1[order]
-        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        sizes = np.diff(np.append(first, len(k)))
-        met[order] |= np.repeat(t[first] != t[first + sizes - 1], sizes)
+        met |= side_groups(group, t1, side)[0]
     return met
 
 
+# What is sent of a run, in steps that leave room for its count: all of it by its place; its windows, each by its own
+# hash; the windows that hold the left side, the right side, or either, by place and side.
+STEP = 40
+WHOLE, WINDOWS, LEFT, RIGHT, BOTH = range(0, 5 * STEP, STEP)
+
+
+def parted(group: np.ndarray, t1: np.ndarray, left: np.ndarray, right: np.ndarray, limits: Limits) -> np.ndarray:
+    """What is sent of runs whose place too many share; -1: nothing. They come sorted by group and text."""
+    group = np.unique(group, return_inverse=True)[1]
+    loose = np.bincount(group, weights=left == 0)[group]
+    (met_left, many_left), (met_right, many_right) = (side_groups(group, t1, side) for side in (left, right))
+    met_left, met_right = met_left | (loose > 0), met_right | (loose > 0)
+    out = np.where(met_left, np.where(met_right, BOTH, LEFT), np.where(met_right, RIGHT, -1))
+    large = np.maximum(np.where(left == 0, 0, many_left), np.where(right == 0, 0, many_right)) > limits.most_sides
+    # Equal windows go the same way, so a place is left as a whole.
+    left_whole = (np.bincount(group, weights=large) > 0)[group] | (loose > limits.most_loose)
+    return np.where(left_whole, WINDOWS, out)
+
+
 BY_TEXT = "bucket int, n int, packed binary"  # place, t1, at, count
 REPEATING = "t1 bigint, n int, packed binary"  # place, at, count
 
@@ -243,45 +319,51 @@ REPEATING = "t1 bigint, n int, packed binary"  # place, at, count
 def shared(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> Iterator[pa.RecordBatch]:
     """The runs that some other text may repeat, from whole buckets of places; a row for each bucket of texts.
 
-    Places that are left have count + 64.
+    To their count is added what is sent of them.
     """
     parts, told, known = [], [], []
+    expand, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
     for batch in batches:
         for kind, n, data in zip(*(batch.column(name).to_pylist() for name in ("kind", "n", "packed")), strict=True):
-            columns = unpacked(n, data)
-            told.append(columns[0]) if kind == TOLD else (known if kind == CROWDED else parts).append(columns)
-    found = [(p, t, at, count + np.uint8(64)) for p, t, at, count, _, _ in known]
+            if kind == TOLD:
+                told += unpacked(expand, n, data, 1)
+            else:
+                (known if kind == CROWDED else parts).append(unpacked(expand, n, data))
+    found = [(p, t, at, count + np.uint8(WINDOWS)) for p, t, at, count, _, _ in known]
     if parts:
         place, t1, at, count, left, right = (np.concatenate(c) for c in zip(*parts, strict=True))
         del parts
         order = np.lexsort((t1, place))
         p, t = place[order], t1[order]
+        if len(order) > 1:  # copies of a text, from other blocks
+            a = at[order]
+            order = order[np.concatenate(([True], (p[1:] != p[:-1]) | (t[1:] != t[:-1]) | (a[1:] != a[:-1])))]
+            p, t = place[order], t1[order]
         first = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
         sizes = np.diff(np.append(first, len(p)))
         more = t[first] != t[first + sizes - 1]
-        too_many = sizes > limits.most_runs
-        if told:
-            too_many |= np.isin(p[first], np.concatenate(told))
+        crowded = np.isin(p[first], np.concatenate(told)) if told else np.zeros(len(first), bool)
+        many = more & (sizes > limits.most_runs)
         group = np.repeat(np.arange(len(first)), sizes)
-        keep = too_many[group]
-        able = np.flatnonzero((more & ~too_many)[group])
+        send = np.where(crowded[group], WINDOWS, -1)
+        able = np.flatnonzero((more & ~many & ~crowded)[group])
         if len(able):
             own = order[able]
-            keep[able] = sides_met(group[able], t[able], left[own], right[own])
-        own = order[keep]
-        found.append((place[own], t1[own], at[own], count[own] + 64 * too_many[group][keep].astype(np.uint8)))
+            send[able] = np.where(sides_met(group[able], t[able], left[own], right[own]), WHOLE, -1)
+        able = np.flatnonzero((many & ~crowded)[group])
+        if len(able):
+            own = order[able]
+            send[able] = parted(group[able], t[able], left[own], right[own], limits)
+        own, send = order[send >= 0], send[send >= 0].astype(np.uint8)
+        found.append((place[own], t1[own], at[own], count[own] + send))
     if not any(len(columns[0]) for columns in found):
         return
     place, t1, at, count = (np.concatenate(c) for c in zip(*found, strict=True))
-    bucket = (t1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((at, t1, bucket))
-    place, t1, at, count, bucket = place[order], t1[order], at[order], count[order], bucket[order]
+    order = np.lexsort((at, t1))
+    place, t1, at, count = place[order], t1[order], at[order], count[order]
     new = np.concatenate(([True], (t1[1:] != t1[:-1]) | (at[1:] != at[:-1])))  # copies of a text have the same runs
-    place, t1, at, count, bucket = place[new], t1[new], at[new], count[new], bucket[new]
-    rows = []
-    for own in np.split(np.arange(len(t1)), np.flatnonzero(np.diff(bucket)) + 1):
-        number, _, n, data = packed(RUNS, int(bucket[own[0]]), place[own], t1[own], at[own], count[own])
-        rows.append((number, n, data))
+    place, t1, at, count = place[new], t1[new], at[new], count[new]
+    rows = [(number, *packed(press, *own)) for number, *own in by_bucket(text_bucket(t1, buckets), place, t1, at, count)]
     kinds = (pa.int32(), pa.int32(), pa.binary())
     columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
     yield pa.RecordBatch.from_arrays(columns, ["bucket", "n", "packed"])
@@ -289,9 +371,10 @@ def shared(batches: Iterator[pa.RecordBatch], limits: Limits, buckets: int) -> I
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each text with all its runs, from whole buckets of texts."""
-    parts = []
+    parts, expand = [], zstandard.ZstdDecompressor()
     for batch in batches:
-        parts += [unpacked(n, data, 4) for n, data in zip(*(batch.column(name).to_pylist() for name in ("n", "packed")), strict=True)]
+        for n, data in zip(*(batch.column(name).to_pylist() for name in ("n", "packed")), strict=True):
+            parts.append(unpacked(expand, n, data, 4))
     if not parts:
         return
     place, t1, at, count = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -314,7 +397,7 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def runs_of(n: int, data: bytes) -> Iterator[tuple[int, int, int]]:
-    """Place, first window and count (64 more: the place is left) of a text's runs."""
+    """Place, first window and count, with what is sent added, of a text's runs."""
     place = np.frombuffer(data[: 8 * n], "<u8").view("<i8").tolist()
     at = np.frombuffer(data[8 * n : 12 * n], "<u4").tolist()
     return zip(place, at, data[12 * n :], strict=True)
@@ -333,6 +416,37 @@ def unpressed(texts: pa.Array) -> list[bytes]:
     return [expand.decompress(t) if t else b"" for t in texts.to_pylist()]
 
 
+def side_routes(parts: list[bytes], places: list[int], sent: list[int]) -> Iterator[list[tuple[int, int, int]]]:
+    """For each part, its windows as (route, first, stop): by place and by the side that the windows hold whole.
+
+    The place is the first in a window that has it more than once, so equal windows have equal routes.
+    """
+    sizes = np.array([len(p) for p in parts], np.int64)
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    name = np.array(places, np.int64).view(np.uint64)
+    found = np.flatnonzero((place_hashes(data) & np.uint64((1 << 8 * NAMED) - 1)) == np.repeat(name, sizes))
+    windows = sizes - LENGTH + 1
+    owner = np.repeat(np.arange(len(parts)), windows)
+    begins = np.cumsum(sizes) - sizes
+    at = begins[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    held = np.searchsorted(found, at)
+    left, right = side_hashes(data, found)
+    in_left = found[held] - at >= SIDE
+    side = np.where(in_left, left[held], right[held]).astype(np.uint64) << np.uint64(1) | in_left
+    route = (name[owner] * np.uint64(0x9E3779B97F4A7C15) + side) * np.uint64(0xBF58476D1CE4E5B9)
+    route = (route ^ route >> np.uint64(31)).view(np.int64)
+    wanted = np.array(sent, np.int64)[owner]
+    wanted = (wanted == BOTH) | (wanted == np.where(in_left, LEFT, RIGHT))
+    new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (route[1:] != route[:-1])))
+    first = np.flatnonzero(new)
+    out: list[list[tuple[int, int, int]]] = [[] for _ in parts]
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(owner)], strict=True):
+        if wanted[a]:
+            start = int(at[a] - begins[owner[a]])
+            out[owner[a]].append((int(route[a]), start, start + b - a))
+    yield from out
+
+
 SENT = "route bigint, part binary, t1 bigint, owner bigint, at bigint, settled bigint"
 
 
@@ -342,87 +456,104 @@ def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The others are settled: an owner with a smaller id holds all of their windows, and all that is sent of them is
     where they end.
     """
+    names = ["route", "part", "t1", "owner", "at", "settled"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
-        rows = []
-        texts = unpressed(batch.column("text"))
-        own = [batch.column(name).to_pylist() for name in ("t1", "owner", "n", "packed")]
-        for text, t1, owner, n, data in zip(texts, *own, strict=True):
-            for place, at, count in runs_of(n, data):
-                if count < 64:
-                    rows.append((place, text[at : at + count + LENGTH - 1], t1, owner, at))
-                    continue
-                for i in range(at, at + count - 64):
-                    window = text[i : i + LENGTH]
-                    rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), window, t1, owner, i))
-        least: dict[bytes, int] = {}
-        for _, part, _, owner, _ in rows:
-            if least.get(part, owner) >= owner:
-                least[part] = owner
-        settled: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        out, names = [], ["route", "part", "t1", "owner", "at", "settled"]
-        for row in rows:
-            place, part, t1, owner, at = row
-            if least[part] == owner:
-                out.append((*row, 0))
-            else:
-                settled.setdefault((t1, owner), []).append((at, at + len(part)))
-        for (t1, owner), spans in settled.items():
-            out += [(t1 ^ a, b"", t1, owner, a, b) for a, b in merged(spans)]
-        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        with no_collector():
+            out = sent_rows(batch)
         for some in range(0, len(out), 100_000):
             columns = zip(*out[some : some + 100_000], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def earliest(parts: list[bytes], owners: np.ndarray) -> list[np.ndarray]:
-    """For each window of each part the least owner of an equal window."""
+def sent_rows(batch: pa.RecordBatch) -> list[tuple]:
+    rows, by_side = [], []
+    texts = unpressed(batch.column("text"))
+    own = [batch.column(name).to_pylist() for name in ("t1", "owner", "n", "packed")]
+    for text, t1, owner, n, data in zip(texts, *own, strict=True):
+        for place, at, count in runs_of(n, data):
+            if count < WINDOWS:
+                rows.append((place, text[at : at + count + LENGTH - 1], t1, owner, at))
+            elif count >= LEFT:
+                by_side.append((text[at : at + count % STEP + LENGTH - 1], place, count // STEP * STEP, t1, owner, at))
+            else:
+                for i in range(at, at + count - WINDOWS):
+                    window = text[i : i + LENGTH]
+                    rows.append((xxhash.xxh64_intdigest(window) - (1 << 63), window, t1, owner, i))
+    for some in range(0, len(by_side), 20_000):
+        own = by_side[some : some + 20_000]
+        for (part, _, _, t1, owner, at), cuts in zip(own, side_routes(*([r[i] for r in own] for i in range(3))), strict=True):
+            rows += [(route, part[a : b + LENGTH - 1], t1, owner, at + a) for route, a, b in cuts]
+    least: dict[bytes, int] = {}
+    for _, part, _, owner, _ in rows:
+        if least.get(part, owner) >= owner:
+            least[part] = owner
+    settled: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    out = []
+    for row in rows:
+        place, part, t1, owner, at = row
+        if least[part] == owner:
+            out.append((*row, 0))
+        else:
+            settled.setdefault((t1, owner), []).append((at, at + len(part)))
+    for (t1, owner), spans in settled.items():
+        out += [(t1 ^ a, b"", t1, owner, a, b) for a, b in merged(spans)]
+    return out
+
+
+def repeated(parts: list[bytes], owners: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Number of a part and span in it, where its windows are equal to windows of a lesser owner."""
     sizes = np.array([len(p) for p in parts])
     data = np.frombuffer(b"".join(parts), np.uint8)
     order = suffix_order(data.astype(np.uint64) + np.uint64(1))
     part = np.repeat(np.arange(len(parts)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
-    order = order[left[order] >= LENGTH]
+    ends = np.cumsum(sizes)
+    order = order[ends[part[order]] - order >= LENGTH]
     words = words_at(np.concatenate((data, np.zeros(LENGTH, np.uint8))))
     same = np.ones(max(len(order) - 1, 0), bool)
     for shift in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
         value = words[order + shift]
         same &= value[1:] == value[:-1]
     first = np.flatnonzero(np.concatenate(([True], ~same)))
-    low = np.minimum.reduceat(owners[part[order]], first)
-    out = np.zeros(len(data), np.int64)
-    out[order] = np.repeat(low, np.diff(np.append(first, len(order))))
-    ends = np.cumsum(sizes)
-    return [out[end - size : end - LENGTH + 1] for end, size in zip(ends, sizes, strict=True)]
-
-
+    own = owners[part[order]]
+    low = np.minimum.reduceat(own, first)
+    hit = np.zeros(len(data) + 1, bool)
+    hit[order] = np.repeat(low, np.diff(np.append(first, len(order)))) < own
+    # The last bytes of a part begin no window, so no hits go on from part to part.
+    edges = np.flatnonzero(np.diff(hit, prepend=False))
+    start, stop = edges[::2], edges[1::2]
+    number = part[start]
+    begin = (ends - sizes)[number]
+    return zip(number.tolist(), (start - begin).tolist(), (stop - begin - 1 + LENGTH).tolist(), strict=True)
+
+
+TOGETHER = MOST // 32  # bytes of parts that are sorted at once, so that they stay in the CPU's cache
 COVERED = "t1 bigint, owner bigint, start bigint, stop bigint"
 
 
 def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of the owners' texts that repeat something earlier. Rows come sorted by route, part and owner."""
     groups: list[list[tuple[bytes, list[tuple]]]] = []  # of each route the different parts, with their holders
-    held, route, out = 0, None, []
+    group: list[tuple[bytes, list[tuple]]] = []
+    holders: list[tuple] = []
+    held, route, last, out = 0, None, None, []
 
     def work() -> None:
-        low: dict[int, np.ndarray] = {}
         together: list[tuple[bytes, list[tuple]]] = []
         size = 0
         for group in [*(g for g in groups if len(g) > 1), []]:
             size += sum(len(part) for part, _ in group)
             if together and (not group or size >= MOST - 1):
                 owners = np.array([holders[0][1] for _, holders in together], np.int64)
-                found = earliest([part for part, _ in together], owners)
-                low |= {id(holders): own for (_, holders), own in zip(together, found, strict=True)}
+                for i, a, b in repeated([part for part, _ in together], owners):
+                    holders = together[i][1]
+                    out.extend((t1, owner, at + a, at + b) for t1, owner, at in holders if owner == holders[0][1])
                 together, size = [], sum(len(part) for part, _ in group)
             together += group
         for part, holders in (entry for group in groups for entry in group):
-            least = holders[0][1]
-            for t1, owner, at in holders:
-                if owner > least:
-                    out.append((t1, owner, at, at + len(part)))
-                elif (found := low.get(id(holders))) is not None and (hit := found < owner).any():
-                    edges = np.flatnonzero(np.diff(hit, prepend=False, append=False)).tolist()
-                    out.extend((t1, owner, at + a, at + b - 1 + LENGTH) for a, b in zip(edges[::2], edges[1::2], strict=True))
+            if len(holders) > 1:
+                least, size = holders[0][1], len(part)
+                out.extend((t1, owner, at, at + size) for t1, owner, at in holders if owner > least)
         groups.clear()
 
     def flushed() -> pa.RecordBatch:
@@ -432,22 +563,25 @@ def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        for key, part, t1, owner, at, settled in zip(*columns, strict=True):
-            if settled:
-                out.append((t1, owner, at, settled))
-                continue
-            if key != route:
-                if held >= MOST // 2:
-                    work()
-                    held = 0
-                route = key
-                groups.append([])
-            group = groups[-1]
-            if not group or group[-1][0] != part:
-                group.append((part, []))
-                held += len(part)
-            group[-1][1].append((t1, owner, at))
+        with no_collector():
+            columns = [batch.column(name).to_pylist() for name in ("route", "part", "t1", "owner", "at", "settled")]
+            for key, part, t1, owner, at, settled in zip(*columns, strict=True):
+                if settled:
+                    out.append((t1, owner, at, settled))
+                    continue
+                if key != route:
+                    if held >= TOGETHER:
+                        work()
+                        held = 0
+                    route = key
+                    group = []
+                    groups.append(group)
+                    last = None
+                if part != last:
+                    last, holders = part, []
+                    group.append((part, holders))
+                    held += len(part)
+                holders.append((t1, owner, at))
         if len(out) >= 100_000:
             yield flushed()
     work()
@@ -504,13 +638,15 @@ def without_repeats(documents: DataFrame, limits: Limits = Limits()) -> DataFram
     # Whole buckets are worked on at once: their number grows with the text.
     whole = owners.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), whole // limits.task)
-    found = keyed.select("t1", "text").mapInArrow(partial(placed, limits=limits, buckets=4 * tasks), PLACED)
-    found = found.repartition(tasks, "bucket").mapInArrow(partial(shared, limits=limits, buckets=4 * tasks), BY_TEXT)
-    repeating = landed(found.repartition(tasks, "bucket").mapInArrow(gathered, REPEATING), "repeating")
+    # A bucket is a task: with more buckets, the rows, one for each task and bucket, would be many and small.
+    found = keyed.select("t1", "text").mapInArrow(partial(placed, limits=limits, buckets=tasks), PLACED)
+    found = found.repartitionById(tasks, "bucket").mapInArrow(partial(shared, limits=limits, buckets=tasks), BY_TEXT)
+    repeating = landed(found.repartitionById(tasks, "bucket").mapInArrow(gathered, REPEATING), "repeating")
     repeating = repeating.join(owners, "t1").select("t1", "t2", F.col("owner").alias("least"), "n", "packed")
     kinds = "doc_id bigint, text binary, t1 bigint, t2 bigint"
-    small = keyed.mapInArrow(pressed, kinds)
-    # The condition is no join key, so that both joins read one exchange of the texts.
+    # Both joins read one exchange of the texts: the condition is no join key, and that keys of an inner join are not null
+    # is said here, as Spark would otherwise say so on one side only.
+    small = keyed.mapInArrow(pressed, kinds).where("t1 is not null and t2 is not null")
     mine = F.coalesce(F.col("doc_id") == F.col("least"), F.lit(False))
     texts = small.join(repeating, ["t1", "t2"]).where(mine)
     texts = texts.select("text", "t1", F.col("doc_id").alias("owner"), "n", "packed")

@@ -9,7 +9,7 @@ MOST = 1 << 21  # symbols; three names then fit into a 64-bit key
 
 def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
     """Order of the keys, names from 1 (equal keys, equal names), and whether all differ."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)  # equal keys in any order: where there are some, their names are sorted on
     ordered = keys[order]
     new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     names = np.empty(len(keys), np.uint64)
@@ -42,7 +42,7 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
     sampled = sample[order]
     sampled = sampled[sampled < n]
     zeros = np.arange(0, n, 3)
-    zeros = zeros[np.argsort(packed(s[zeros], rank[zeros + 1]), kind="stable")]
+    zeros = zeros[np.argsort(packed(s[zeros], rank[zeros + 1]))]  # ranks differ
     # Merge: a suffix at 0 mod 3 meets those at 1 by (symbol, rank), those at 2 by (symbol, symbol, rank).
     first, second = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     before = np.searchsorted(packed(s[first], rank[first + 1]), packed(s[zeros], rank[zeros + 1]))

@@ -1,5 +1,7 @@
 """Repeated passages against a brute-force version, and the suffix order against sorted suffixes."""
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -108,3 +110,53 @@ def test_equal_windows_agree_in_a_side(texts, cuts, seed):
         assert len({place for place, _, _ in runs}) == 1
         for _, left, right in runs:
             assert all(0 in (left, other_left) or left == other_left or right == other_right for _, other_left, other_right in runs)
+
+
+PARTED = passages.Limits(crowd=10**6, most_runs=2)
+
+
+@pytest.mark.parametrize(
+    "limits", [PARTED, replace(PARTED, most_sides=3), replace(PARTED, most_loose=0), replace(PARTED, block=700, held=50)]
+)
+def test_parted_places_change_nothing(documents, limits):
+    rows = shared_texts()
+    assert digest(passages.without_repeats(documents(rows), limits)) == sorted(brute.passages(rows), key=repr)
+
+
+def dealt(texts, limits, buckets):
+    """What placed() and shared() return for a block of texts."""
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()), pa.binary())], ["t1", "text"])
+    sent = [row for part in passages.placed(iter([batch]), limits, buckets) for row in part.to_pylist()]
+    found = []
+    for bucket in sorted({row["bucket"] for row in sent}):
+        rows = pa.RecordBatch.from_pylist([row for row in sent if row["bucket"] == bucket])
+        found += [row for part in passages.shared(iter([rows]), limits, buckets) for row in part.to_pylist()]
+    return sent, found
+
+
+def test_a_frequent_place_does_not_send_all_windows():
+    """A place in many texts, with other bytes around it: only what agrees with another text beside the place is sent."""
+    random = np.random.default_rng(7)
+    prose = lambda n: bytes(random.choice(list(b"abcdefghijklmnop"), n).astype(np.uint8))
+    place = min((prose(16) for _ in range(20_000)), key=lambda p: passages.place_hashes(np.frombuffer(p, np.uint8))[0])
+    alike = prose(40)
+    texts = {t1: prose(60) + place + (alike if t1 < 10 else prose(40)) + prose(30) for t1 in range(400)}
+    _, found = dealt(texts, passages.Limits(crowd=10**6, most_runs=300), 1)
+    rows = pa.RecordBatch.from_pylist(found)
+    repeating = [row for part in passages.gathered(iter([rows])) for row in part.to_pylist()]
+    columns = {"text": [texts[r["t1"]] for r in repeating], "t1": [r["t1"] for r in repeating], "owner": [r["t1"] for r in repeating]}
+    columns |= {name: [r[name] for r in repeating] for name in ("n", "packed")}
+    pressed = next(passages.pressed(iter([pa.RecordBatch.from_pydict(columns)])))
+    sent = [row for part in passages.sent(iter([pressed])) for row in part.to_pylist()]
+    assert {row["t1"] for row in sent} >= set(range(10))
+    assert len(sent) <= 60  # 35 windows of each of 400 texts before
+
+
+def test_tasks_pack_blocks_together():
+    """A row for each bucket of a task, and not of each of its blocks: those grow with blocks times buckets."""
+    random = np.random.default_rng(9)
+    texts = {t1: bytes(random.choice(list(b"abcdefgh"), 900).astype(np.uint8)) for t1 in range(200)}
+    sent, _ = dealt(texts, passages.Limits(block=2_000), 6)
+    assert len(sent) <= 6
+    sent, _ = dealt(texts, passages.Limits(block=2_000, held=2_500), 6)
+    assert 6 < len(sent) <= 6 * 5
