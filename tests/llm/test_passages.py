@@ -144,8 +144,8 @@ def test_a_frequent_place_does_not_send_all_windows():
     _, found = dealt(texts, passages.Limits(crowd=10**6, most_runs=300), 1)
     rows = pa.RecordBatch.from_pylist(found)
     repeating = [row for part in passages.gathered(iter([rows])) for row in part.to_pylist()]
-    columns = {"text": [texts[r["t1"]] for r in repeating], "t1": [r["t1"] for r in repeating], "owner": [r["t1"] for r in repeating]}
-    columns |= {name: [r[name] for r in repeating] for name in ("n", "packed")}
+    columns = {name: [r[name] for r in repeating] for name in ("t1", "n", "packed")}
+    columns |= {"text": [texts[t1] for t1 in columns["t1"]], "owner": columns["t1"]}
     pressed = next(passages.pressed(iter([pa.RecordBatch.from_pydict(columns)])))
     sent = [row for part in passages.sent(iter([pressed])) for row in part.to_pylist()]
     assert {row["t1"] for row in sent} >= set(range(10))
